@@ -37,7 +37,8 @@ def read_table(
     """A raw table with lower-case column names and nulls for the "no value" texts.
 
     CSV cells stay text. ``ordered`` adds ``src_order``, which sorts rows as they stand in
-    the file, files by path. It is what "first" and "last" mean in the operators.
+    the file, files by path; a table that has the column keeps its own. It is what "first"
+    and "last" mean in the operators.
     """
     path = str(path)
     try:
@@ -50,12 +51,12 @@ def read_table(
             raise FileNotFoundError(f"Input not found: {path}") from error
         raise
     cells = [_cell(raw, name) for name in raw.columns]
-    if not ordered:
-        df = raw.select(*cells)
-    elif SRC_ORDER in raw.columns:
-        df = raw.select(*cells)
-    else:
+    if SRC_ORDER in raw.columns:
+        df = raw.select(*cells).withColumn(SRC_ORDER, F.col(SRC_ORDER).cast("bigint"))
+    elif ordered:
         df = _with_src_order(raw, cells, fmt)
+    else:
+        df = raw.select(*cells)
     return require_columns(df, required, path)
 
 
@@ -83,7 +84,7 @@ def _with_src_order(raw: DataFrame, cells: list[Column], fmt: str) -> DataFrame:
     files = sorted(raw.inputFiles())
     if len(files) <= 1:
         return raw.select(*cells, offset.alias(SRC_ORDER))
-    placed = raw.select(*cells, offset, F.col("_metadata.file_path").alias("_path"))
+    placed = raw.select(*cells, offset, F.input_file_name().alias("_path"))
     if len(files) > _MAX_RANKED_FILES:
         order = F.struct("_path", "_offset")
     else:
