@@ -52,7 +52,7 @@ def _ready(spark: SparkSession) -> None:
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pulsegrid-"))
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulsegrid-"))
 
 
 class _Inputs:

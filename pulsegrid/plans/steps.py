@@ -1,8 +1,8 @@
 """The eight quality-control steps on DataFrames.
 
 Each step takes raw or typed tables and returns its result tables. They are lazy but for one
-thing: where a step reads its daily facts more than once, it settles them first, so that
-the minutes are scanned once.
+thing: a table of days that a step reads more than once is settled first, so that the
+minutes are scanned once.
 """
 
 from __future__ import annotations
@@ -154,6 +154,6 @@ def wear_compliance(cleaned: DataFrame, cfg: WearCompliance = WearCompliance())
     """Share of worn minutes of every day, and how it is spread."""
     require_columns(cleaned, MINUTE_COLUMNS, "minute table")
     observed = settle(facts.observed_days(cleaned, None, cfg.normalize_time))
-    daily = days.daily_compliance(observed, cfg.expected_minutes)
+    daily = settle(days.daily_compliance(observed, cfg.expected_minutes))
     counts = spread.value_counts(daily)
     return Compliance(daily, spread.compliance_totals(counts, cfg.threshold_ratio), spread.histogram(counts, cfg.bins))
