@@ -65,8 +65,9 @@ def number(cell: Column) -> Column:
 
 
 def whole(value: Column) -> Column:
-    """The double as a BIGINT where it is a whole number that a double holds exactly."""
-    return F.when((value == F.floor(value)) & (F.abs(value) < F.lit(2.0**53)), value.try_cast("bigint"))
+    """The double as a BIGINT, null when it is not whole or does not fit."""
+    cut = value.try_cast("bigint")
+    return F.when(cut == value, cut)
 
 
 def truth(cell: Column) -> Column:

@@ -59,10 +59,13 @@ def longest_runs(daily: DataFrame) -> DataFrame:
     first_of_block = F.col("block") * BLOCK_DAYS
     at_edge = (F.col("first") == first_of_block) | (F.col("last") == first_of_block + (BLOCK_DAYS - 1))
     # Null stands for the edge pieces of a subject, a block number for pieces inside it.
+    # Only a piece that starts its block may go on from the one before, which then ends the
+    # block before it: pieces inside a block are separate runs already.
     across = Window.partitionBy("subject_id", "home").orderBy("block", "piece")
+    goes_on = (F.col("first") == first_of_block) & (F.col("first") == F.lag("last").over(across) + 1)
     runs = (
         pieces.withColumn("home", F.when(~at_edge, F.col("block")))
-        .withColumn("starts", F.when(F.col("first") == F.lag("last").over(across) + 1, 0).otherwise(1))
+        .withColumn("starts", F.when(goes_on, 0).otherwise(1))
         .withColumn("run", F.sum("starts").over(across.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy("subject_id", "home", "run")
         .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))

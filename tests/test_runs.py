@@ -76,7 +76,7 @@ def test_participants(spark):
     assert rows(found.summary) == [("a", 3, 0, 2, True), ("b", 1, 0, 0, False), ("c", 0, None, None, False)]
     assert rows(found.daily, "subject_id", "day_index") == [("a", 0), ("a", 1), ("a", 2), ("a", 3)]
     assert (rows(found.passing, "subject_id"), rows(found.failing, "subject_id")) == ([("a",)], [("b",), ("c",)])
-    assert rows(found.counts) == [(3, 1, 2, 100 / 3, 3.0, 3.0, 3, 3)]
+    assert rows(found.counts) == [(3, 1, 2, 1 / 3 * 100, 3.0, 3.0, 3, 3)]
     ranged = steps.find_valid_participants(table, ValidParticipants(2, day_start=1, day_end=2))
     assert rows(ranged.summary) == [("a", 2, 1, 2, True), ("b", 1, 2, 2, False)]
     assert rows(ranged.daily, "subject_id", "day_index") == [("a", 1), ("a", 2)]
