@@ -28,7 +28,7 @@ from pulsegrid.config import (
     ValidParticipants,
 )
 from pulsegrid.functions.ratio import percent
-from pulsegrid.operators import days, facts, metrics, minutes, readings, runs
+from pulsegrid.operators import days, facts, metrics, minutes, readings
 from pulsegrid.plans import cohort, steps
 from pulsegrid.sources.keys import metric_keys, valid_day_keys
 from pulsegrid.sources.minutes import parse_minutes, read_minutes, worn_readings

@@ -25,7 +25,7 @@ from pulsegrid.config import (
     ValidParticipants,
     WearCompliance,
 )
-from pulsegrid.operators import days, facts, metrics, minutes, readings, runs, spread
+from pulsegrid.operators import days, facts, metrics, minutes, readings, spread
 from pulsegrid.plans import cohort, steps
 from pulsegrid.sources.keys import metric_keys, valid_day_keys
 from pulsegrid.sources.minutes import read_minutes
