@@ -35,6 +35,14 @@ from pulsegrid.sources.minutes import parse_minutes, read_minutes, worn_readings
 from pulsegrid.sources.settle import settle, shared_folder
 from pulsegrid.sources.tables import write_table
 
+try:
+    import corpus_pipeline
+    from pulsegrid.llm import queries as llm_queries
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "pulsegrid.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Events are sparse: two minutes make a day valid there, three valid days a participant.
@@ -209,9 +217,23 @@ def _run(build: Callable[[_Inputs], DataFrame], spark: SparkSession, sf_dir: str
     return build(_Inputs(spark, sf_dir))
 
 
+def _run_llm(query: Query, spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    return query(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
-    return {name: partial(_run, build) for name, build in _QUERIES.items()}
+    found: dict[str, Query] = {name: partial(_run, build) for name, build in _QUERIES.items()}
+    if llm_queries:
+        more = {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+        found |= {name: partial(_run_llm, query) for name, query in more.items()}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    found = oracle.statements()
+    if llm_queries:
+        found |= llm_queries.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
