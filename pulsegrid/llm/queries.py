@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import token_counts
+from pulsegrid.llm import packing, token_counts, training_order
 from pulsegrid.llm.frames import table
+from pulsegrid.sources.settle import settle, shared_folder
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +17,23 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's parts with their places, and the checksum of the record as read back from its shard."""
+    path = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    parts = training_order.materialise(table(spark, sf_dir, "documents"), ranks, path)
+    read = settle(training_order.read_records(spark, path).select("slot", "ids_crc32"))
+    return parts.join(read, "slot", "left")
+
+
 QUERIES = {
     "op5_token_counts": op5_token_counts,
+    "op8_packing": op8_packing,
+    "op10_training_order": op10_training_order,
 }
 
 #: SQL for the queries that SQL can express.
