@@ -7,11 +7,15 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import packing, token_counts, training_order
+from pulsegrid.llm import packing, quality, token_counts, toxicity, training_order
 from pulsegrid.llm.frames import table
 from pulsegrid.sources.settle import settle, shared_folder
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
@@ -21,6 +25,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's parts with their places, and the checksum of the record as read back from its shard."""
     path = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
@@ -31,8 +39,10 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality": op2_quality,
     "op5_token_counts": op5_token_counts,
     "op8_packing": op8_packing,
+    "op9_toxicity": op9_toxicity,
     "op10_training_order": op10_training_order,
 }
 
