@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import packing, quality, token_counts, toxicity, training_order
+from pulsegrid.llm import near_duplicates, packing, quality, token_counts, toxicity, training_order
 from pulsegrid.llm.frames import table
 from pulsegrid.sources.settle import settle, shared_folder
 
@@ -21,6 +21,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -41,6 +45,7 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_quality": op2_quality,
     "op5_token_counts": op5_token_counts,
+    "op6_near_duplicates": op6_near_duplicates,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_training_order": op10_training_order,
