@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.frames import only
-from pulsegrid.sources.settle import settle
 
 BUDGET = 0.05
 BLOCK_CHARS = 4_000_000
@@ -177,10 +176,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, block_c
     return reduce(DataFrame.unionByName, found)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET) -> DataFrame:
-    """The documents without any item; rows with a null doc_id are searched by their text like others."""
-    marked = docs.withColumn("row_", F.monotonically_increasing_id())
-    marked = settle(marked)
-    hits = leaks(marked.select(F.col("row_").alias("doc_id"), "text"), benchmark, budget)
-    hit = settle(hits.select(F.col("doc_id").alias("row_")).distinct())
-    return marked.join(hit, "row_", "left_anti").drop("row_")
+def clean(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The documents in which no item is found, with all their columns; a row is judged by its text alone."""
+    items = only(benchmark, ("item_id", "text"), "benchmark").where("text is not null").distinct()
+
+    def without(rows: DataFrame, block: list[tuple[int, str]]) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            searcher = Searcher(block, budget)
+            for batch in batches:
+                stays = [not searcher.find(normalised(text.as_py())) for text in batch.column("text")]
+                yield batch.filter(pa.array(stays, pa.bool_()))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    for block in _blocks(items, block_chars):
+        docs = without(docs, sorted((r.item_id or 0, normalised(r.text)) for r in block.collect()))
+    return docs

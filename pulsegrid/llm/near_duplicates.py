@@ -348,3 +348,13 @@ def _labels(docs: DataFrame, live: DataFrame, percent: int) -> DataFrame:
     if missed.isEmpty():
         return found
     return components(found.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(missed))
+
+
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One document of each component, with all columns; of rows with one doc_id, one stays."""
+    found = settle(near_duplicates(docs, percent))
+    dropped = found.where("not kept and doc_id is not null").select("doc_id").distinct()
+    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))

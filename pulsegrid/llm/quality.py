@@ -37,14 +37,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pulsegrid.llm.frames import only
 from pulsegrid.llm.words import NOT_WHITE, WINDOW, WordReader, text_blocks
 from pulsegrid.sources.settle import settle
+from pulsegrid.sources.tables import require_columns
 
-STATS = (
-    "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, "
-    "n_dup_lines long, n_repeat_words long, n_capitals long, n_chars long"
-)
+KEYS = ("doc_id", "lang", "source")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_chars_all")
 RESULT = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 _SYMBOLS = np.zeros(256, bool)
@@ -99,32 +97,45 @@ def _repeated(words) -> np.ndarray:
     return np.bincount(words.text[covered], minlength=words.n_texts)
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """``STATS`` of every row."""
+def _counts(reader: WordReader, texts: list[bytes | None]) -> list[pa.Array]:
+    """The columns of ``COUNTS``."""
+    words = reader.read(texts)
+    data = np.frombuffer(b"".join(t or b"" for t in texts), np.uint8)
+    ends = np.cumsum([len(t or b"") for t in texts])
+    heads = (data & 0xC0) != 0x80  # one byte of each code point
+    numbers = (
+        words.counts(),
+        _sums(heads & NOT_WHITE[data], ends),
+        _sums(_SYMBOLS[data], ends),
+        [_dup_lines(t) for t in texts],
+        _repeated(words),
+        _sums(_CAPITALS[data], ends),
+        _sums(heads, ends),
+    )
+    return [pa.array(n, pa.int64()) for n in numbers]
+
+
+def with_statistics(docs: DataFrame, carried: tuple[str, ...]) -> DataFrame:
+    """The carried columns and ``COUNTS`` of every row."""
+    rows = docs.select(*carried, F.col("text").alias("text_to_count"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = WordReader()
-        names = [c.split()[0] for c in STATS.split(", ")]
         for batch in batches:
-            for at, texts in text_blocks(batch.column("text")):
-                words = reader.read(texts)
-                data = np.frombuffer(b"".join(t or b"" for t in texts), np.uint8)
-                ends = np.cumsum([len(t or b"") for t in texts])
-                heads = (data & 0xC0) != 0x80  # one byte of each code point
-                numbers = [
-                    words.counts(),
-                    _sums(heads & NOT_WHITE[data], ends),
-                    _sums(_SYMBOLS[data], ends),
-                    [_dup_lines(t) for t in texts],
-                    _repeated(words),
-                    _sums(_CAPITALS[data], ends),
-                    _sums(heads, ends),
-                ]
+            for at, texts in text_blocks(batch.column("text_to_count")):
                 part = batch.slice(at, len(texts))
-                keys = [part.column("doc_id").cast(pa.int64()), part.column("lang").cast(pa.string()), part.column("source").cast(pa.string())]
-                yield pa.RecordBatch.from_arrays([*keys, *(pa.array(n, pa.int64()) for n in numbers)], names)
+                columns = [part.column(c) for c in carried] + _counts(reader, texts)
+                yield pa.RecordBatch.from_arrays(columns, [*carried, *COUNTS])
+
+    schema = rows.drop("text_to_count").schema
+    for name in COUNTS:
+        schema = schema.add(name, "long")
+    return rows.mapInArrow(run, schema)
 
-    return only(docs, ("doc_id", "lang", "source", "text"), "documents").mapInArrow(run, STATS)
+
+def statistics(docs: DataFrame) -> DataFrame:
+    """doc_id, lang, source and ``COUNTS`` of every row."""
+    return with_statistics(require_columns(docs, (*KEYS, "text"), "documents"), KEYS)
 
 
 def with_base_rules(stats: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -132,8 +143,8 @@ def with_base_rules(stats: DataFrame, s: Settings = Settings()) -> DataFrame:
     return stats.withColumn("base_failed", failed)
 
 
-def _with_group(rows: DataFrame, s: Settings) -> DataFrame:
-    """Adds ``grp``: the language and source, or what small ones are pooled into; null where all is small."""
+def _groups(rows: DataFrame, s: Settings) -> DataFrame:
+    """lang, source and ``grp``: their own name, or what small ones are pooled into; null where all is small."""
     sizes = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
     own = F.col("n") >= s.least_rows
     in_lang = F.sum(F.when(own, 0).otherwise(F.col("n"))).over(Window.partitionBy("lang"))
@@ -146,25 +157,34 @@ def _with_group(rows: DataFrame, s: Settings) -> DataFrame:
         .when(F.col("level") == 1, F.to_json(F.struct("lang")))
         .when(F.lit(rest >= s.least_rows), F.lit("rest"))
     )
-    groups = sizes.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), name.alias("grp"))
-    same = F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))
-    return rows.join(groups, same, "left").drop("g_lang", "g_source")
+    return sizes.select("lang", "source", name.alias("grp"))
+
 
+def _by_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows with what the table of groups holds for their language and source."""
+    groups = groups.withColumnsRenamed({"lang": "group_lang", "source": "group_source"})
+    same = F.col("lang").eqNullSafe(F.col("group_lang")) & F.col("source").eqNullSafe(F.col("group_source"))
+    return rows.join(groups, same, "left").drop("group_lang", "group_source")
 
-def _with_vector(rows: DataFrame, s: Settings) -> DataFrame:
-    """Adds x0..x4."""
+
+def _with_usual(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """The table of groups with the median of the mean word length."""
     length = F.col("word_chars") / F.col("n_words")
-    medians = rows.where("grp is not null").groupBy("grp").agg(F.percentile_approx(length, 0.5, 10_000).alias("usual"))
-    rows = rows.join(medians, "grp", "left")
-    n = F.col("n_words")
+    named = _by_group(rows, groups).where("grp is not null")
+    return groups.join(named.groupBy("grp").agg(F.percentile_approx(length, 0.5, 10_000).alias("usual")), "grp", "left")
+
+
+def _vector(s: Settings) -> dict[str, Column]:
+    """x0.. of a row with ``COUNTS`` and its group's usual word length."""
+    n = F.greatest(F.col("n_words"), F.lit(1))
     parts = (
         F.log(n),
-        (length - F.col("usual")) * F.sqrt(F.least(n, F.lit(s.word_bound))),
+        (F.col("word_chars") / n - F.col("usual")) * F.sqrt(F.least(n, F.lit(s.word_bound))),
         F.log1p(20 * F.col("n_symbols") / n),
         F.sqrt(F.col("n_repeat_words") / n),
-        F.sqrt(F.col("n_capitals") / F.greatest(F.col("n_chars"), F.lit(1))),
+        F.sqrt(F.col("n_capitals") / F.greatest(F.col("n_chars_all"), F.lit(1))),
     )
-    return rows.withColumns({f"x{k}": x.cast("double") for k, x in enumerate(parts)}).drop("usual")
+    return {f"x{k}": x.cast("double") for k, x in enumerate(parts)}
 
 
 def chi2_cdf(x: float, p: int) -> float:
@@ -299,13 +319,39 @@ def robust_estimates(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
     return _estimates(sums, p, s, consistency(0.975, p)).select("grp", "centre", "inverse")
 
 
+def _fitted(stats: DataFrame, s: Settings) -> DataFrame:
+    """lang, source, usual, centre and inverse: all that a verdict needs, from stored statistics."""
+    passed = stats.where("not base_failed")
+    groups = settle(_with_usual(passed, _groups(passed, s)))
+    rows = _by_group(passed, groups).where("grp is not null").withColumns(_vector(s))
+    estimates = robust_estimates(settle(rows.select("grp", *_vector(s))), s)
+    return settle(groups.join(estimates, "grp", "left").drop("grp"))
+
+
+def _verdicts(stats: DataFrame, fitted: DataFrame, s: Settings) -> DataFrame:
+    """Adds distance and kept."""
+    judged = _by_group(stats, fitted).withColumns(_vector(s))
+    judged = judged.withColumn("distance", F.when(~F.col("base_failed"), _distance(len(s.floors))))
+    return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= s.cutoff, F.lit(True)))
+
+
 def judge(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """``RESULT`` and the squared distance of every row; the distance is null where there is no verdict."""
-    p = len(s.floors)
     stats = settle(with_base_rules(statistics(docs), s))
-    rows = settle(_with_vector(_with_group(stats.where("not base_failed"), s), s))
-    estimates = settle(robust_estimates(rows.where("grp is not null"), s))
-    judged = rows.join(estimates, "grp", "left").withColumn("distance", _distance(p))
-    passed = judged.withColumn("kept", F.coalesce(F.col("distance") <= s.cutoff, F.lit(True)))
-    failed = stats.where("base_failed").withColumns({"distance": F.lit(None).cast("double"), "kept": F.lit(False)})
-    return passed.select(*RESULT, "distance").unionByName(failed.select(*RESULT, "distance"))
+    return _verdicts(stats, _fitted(stats, s), s).select(*RESULT, "distance")
+
+
+def accept(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """The documents that are kept, with all their columns.
+
+    Texts are counted twice, once for the estimates and once for the verdicts: the verdict needs
+    only the small table of groups, so no text is shuffled to meet it.
+    """
+    stats = settle(with_base_rules(statistics(docs), s))
+    fitted = _fitted(stats, s)
+    columns = tuple(docs.columns)
+    inner = {c: f"own_{k}" for k, c in enumerate(columns) if c not in ("lang", "source")}
+    carried = docs.select("*").withColumnsRenamed(inner).withColumn("text", F.col(inner["text"]))
+    counted = with_statistics(carried, tuple(c for c in carried.columns if c != "text"))
+    kept = _verdicts(with_base_rules(counted, s), fitted, s).where("kept")
+    return kept.select(*[F.col(inner.get(c, c)).alias(c) for c in columns])
