@@ -96,5 +96,52 @@ QUERIES = {
     "op10_training_order": op10_training_order,
 }
 
-#: SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+_CHAT_SQL = r"""
+with given as (
+    select conv_id, turn, role, coalesce(text, '') as text from conversations
+    union all select -7, t.turn, t.role, '\### Assistant: </turn> ok' from (values (0, 'user'), (1, 'assistant')) as t(turn, role)
+), placed as (
+    select *, row_number() over place as k, lag(role) over place as before,
+           list_sum([length(x) for x in
+               regexp_extract_all(text, '### Assistant:|### System:|### role=|### User:|</turn>|\\')]) as escapes
+    from given window place as (partition by conv_id order by turn nulls first, role nulls first, text)
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' order by k)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by k) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(sum(length('### ' || role || ': ') + length(text) + coalesce(escapes, 0) + length('</turn>') + 1) as bigint)
+           as formatted_chars,
+       coalesce(bool_and(case when k = 1 then role in ('system', 'user') when before in ('system', 'assistant')
+                              then role = 'user' when before = 'user' then role = 'assistant' else false end), false) as valid
+from placed group by conv_id"""
+
+_NEAR_SQL = r"""
+with recursive split as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') as w
+    from documents
+), sets as (
+    select doc_id, case when len(w) >= 5 then list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)])
+                        when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s
+    from split
+), items as (
+    select doc_id, len(s) as n, unnest(s) as x from sets
+), linked as (
+    select a.doc_id as a, b.doc_id as b from items a join items b on a.x = b.x and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached as (
+    select a, b from linked
+    union select r.a, l.b from reached r join linked l on r.b = l.a
+), least_reached as (
+    select a, min(b) as b from reached group by a
+)
+select doc_id, cast(len(s) as bigint) as n_shingles, least(doc_id, coalesce(b, doc_id)) as component_id,
+       doc_id = least(doc_id, coalesce(b, doc_id)) as kept
+from sets left join least_reached on a = doc_id"""
+
+#: SQL for the queries that SQL can express. The others are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op4_chat": _CHAT_SQL,
+    "op6_near_duplicates": _NEAR_SQL,
+}
