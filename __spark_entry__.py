@@ -22,6 +22,7 @@ from pulsegrid.config import (
     Cohort,
     CollectedDays,
     Duplicates,
+    HeartRateStats,
     Missingness,
     Outliers,
     ValidDays,
@@ -33,7 +34,7 @@ from pulsegrid.plans import cohort, steps
 from pulsegrid.sources.keys import metric_keys, valid_day_keys
 from pulsegrid.sources.minutes import parse_minutes, read_minutes, worn_readings
 from pulsegrid.sources.settle import settle, shared_folder
-from pulsegrid.sources.tables import write_table
+from pulsegrid.sources.tables import SRC_ORDER, write_table
 
 try:
     import corpus_pipeline
@@ -73,6 +74,18 @@ class _Inputs:
     def sparse(self) -> DataFrame:
         return workload.sparse(self.spark, self.sf_dir)
 
+    @property
+    def odd(self) -> DataFrame:
+        return workload.odd(self.spark, self.sf_dir)
+
+    @property
+    def odd_clean(self) -> DataFrame:
+        return steps.remove_outliers(steps.remove_duplicates(self.odd).minutes.drop(minutes.COPIES)).minutes
+
+    @property
+    def odd_days(self) -> DataFrame:
+        return settle(steps.find_valid_days(self.odd_clean, SPARSE_DAYS).daily)
+
     @property
     def dense(self) -> DataFrame:
         return workload.dense(self.spark, self.sf_dir)
@@ -111,6 +124,23 @@ def _csv_round_trip(i: _Inputs) -> DataFrame:
     return read_minutes(i.spark, path, "csv", ordered=False)
 
 
+def _dedup_from_files(i: _Inputs) -> DataFrame:
+    """The dedup of several written files, whose rows' order is known from their places alone."""
+    path = f"{shared_folder(i.spark)}/csv-{uuid.uuid4().hex}"
+    parts = i.sparse.repartitionByRange(5, "src_order").sortWithinPartitions("src_order")
+    write_table(parts.select(*MINUTE_COLUMNS), path, "csv")
+    return steps.remove_duplicates(read_minutes(i.spark, path, "csv")).minutes.drop(SRC_ORDER)
+
+
+def _readings_on_repeated_days(i: _Inputs) -> DataFrame:
+    days = i.odd_days
+    return readings.rows_on_days(worn_readings(i.odd), valid_day_keys(days.unionByName(days)))
+
+
+def _odd_hr(i: _Inputs) -> steps.DailyReadings:
+    return steps.daily_heart_rate(i.odd_days, i.odd_clean, HeartRateStats(filter_valid_days=False))
+
+
 def _observed(i: _Inputs) -> DataFrame:
     return settle(facts.observed_days(i.sparse_clean))
 
@@ -149,6 +179,7 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
         parse_minutes(i.sparse).where("ok_datetime").drop("ok_datetime", "ok_hr_validminute"),
         ("subject_id", "day_index", "minute_of_day"),
     ),
+    "dedup_last_from_files": _dedup_from_files,
     "dedup_summary": lambda i: steps.remove_duplicates(i.sparse).summary,
     # Outliers
     "outlier_flags": lambda i: minutes.with_outlier_flags(i.sparse),
@@ -203,9 +234,32 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     ),
     "compliance_histogram": lambda i: steps.wear_compliance(i.dense_clean).histogram,
     "compliance_histogram_sparse": lambda i: steps.wear_compliance(i.sparse_clean).histogram,
+    # Cells in every spelling, days below 0, days without readings, repeated days, runs of years
+    "odd_minutes": lambda i: parse_minutes(i.odd),
+    "odd_dedup": lambda i: steps.remove_duplicates(i.odd).minutes,
+    "odd_dedup_summary": lambda i: steps.remove_duplicates(i.odd).summary,
+    "odd_outliers": lambda i: i.odd_clean,
+    "odd_adherence": lambda i: i.odd_days,
+    "odd_adherence_from_first_day": lambda i: steps.find_valid_days(
+        i.odd_clean, ValidDays(threshold_minutes=2, start_at_zero=False)
+    ).daily,
+    "odd_hr_stats": lambda i: _odd_hr(i).daily,
+    "odd_hr_summary": lambda i: _odd_hr(i).summary,
+    "odd_readings_on_repeated_days": _readings_on_repeated_days,
+    "runs_over_blocks": lambda i: steps.find_valid_participants(
+        workload.long(i.spark, i.sf_dir), ValidParticipants(min_consecutive_days=30)
+    ).summary,
     # The combined job
     "cohort_flow": lambda i: i.cohort()["cohort_flow"],
     "cohort_raw_counts": lambda i: cohort.stage_counts("raw", i.sparse),
+    "cohort_global_counts": lambda i: i.cohort()["global_counts"],
+    "cohort_outlier_counts": lambda i: i.cohort()["step3_summary"],
+    "cohort_hr_stats": lambda i: i.cohort()["daily_hr_stats"],
+    "cohort_hr_summary": lambda i: i.cohort()["step6_summary"],
+    "cohort_participants": lambda i: _rounded(i.cohort()["participant_counts"], "pass_percent", "mean_run_len"),
+    "cohort_merged_metrics": lambda i: i.cohort()["merged_metrics"],
+    "cohort_compliance": lambda i: i.cohort()["daily_compliance"],
+    "cohort_histogram": lambda i: i.cohort()["compliance_histogram"],
     "cohort_dedup_summary": lambda i: i.cohort()["step2_summary"],
     "cohort_daily_pass": lambda i: i.cohort()["daily_adherence_pass_subjects"],
     "cohort_missingness": lambda i: i.cohort()["step7_summary"],

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import workload
+from pulsegrid.config import ALL_METRICS, SLEEP_METRICS
 
 # Fixed values of the number and time texts, as in pulsegrid.functions.
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _FULL_TIME = r"^([01]?[0-9]|2[0-3]):([0-5]?[0-9]):([0-5]?[0-9])$"
 
-_ALL_METRICS = """steps distance calories resting_hr daily_mean daily_max daily_min total_minutes_asleep
-total_time_in_bed stages_deep stages_light stages_rem stages_wake stages_asleep stages_restless
-stages_awake cnt_deep cnt_light cnt_rem cnt_wake cnt_asleep cnt_restless cnt_awake""".split()
-
 
 def _with(parts: dict[str, str], final: str) -> str:
     return "with " + ",\n".join(f"{name} as materialized ({text})" for name, text in parts.items()) + "\n" + final
@@ -41,6 +40,42 @@ def _sparse(normalize: bool = True) -> dict[str, str]:
     return {"raw": workload.sparse_sql(), "p": _parsed("raw", normalize)}
 
 
+def _any_num(cell: str) -> str:
+    """Like _num, for cells with blanks, signs and infinities."""
+    return f"""case when regexp_matches({cell}, '{_NUMBER}') then try_cast(ltrim({cell}, '+') as double)
+            when regexp_matches(lower({cell}), '^[+-]?inf(inity)?$')
+            then case when {cell} like '-%' then cast('-inf' as double) else cast('inf' as double) end end"""
+
+
+def _strip(cell: str) -> str:
+    return rf"regexp_replace({cell}, '^\s+|\s+$', '', 'g')"
+
+
+def _odd() -> dict[str, str]:
+    """The odd minutes: raw, and p with the derived columns."""
+    return {"raw": workload.odd_sql(), "p": _odd_parsed("raw")}
+
+
+def _odd_parsed(source: str) -> str:
+    time = _strip("time")
+    return f"""
+select * exclude (day_text, day_num, hr_text),
+       case when day_text like 'day%' and day_num = floor(day_num) then cast(day_num as bigint) end as day_index,
+       case when regexp_matches(time, '{_FULL_TIME}')
+            then cast(split_part(time, ':', 1) as int) * 60 + cast(split_part(time, ':', 2) as int) end as minute_of_day,
+       {_any_num('hr_text')} as hr_num
+from (select *, {_any_num(_strip('substr(day_text, 4)'))} as day_num
+      from (select * replace (case when length({time}) - length(replace({time}, ':', '')) = 1
+                              then {time} || ':00' else {time} end as time),
+                   lower({_strip('date')}) as day_text, {_strip('hr')} as hr_text
+            from {source}))"""
+
+
+def _odd_clean() -> dict[str, str]:
+    zeroed = f"select * replace (case when hr_num not between 40 and 163 then '0' else hr end as hr) from ({_odd_parsed('d')})"
+    return _odd() | {"d": _deduped(), "z": f"select subject_id, date, time, hr, src_order, copies from ({zeroed})", "c": _odd_parsed("z")}
+
+
 def _dense() -> dict[str, str]:
     return {"raw": workload.dense_sql(), "p": _parsed("raw")}
 
@@ -137,6 +172,27 @@ where k.is_valid_day""",
     }
 
 
+def _odd_stats() -> dict[str, str]:
+    """Statistics of all days of the grid, so also of days without readings."""
+    return _odd_clean() | _adherence(2) | {
+        "readings": _READINGS,
+        "stats": """
+select k.subject_id, k.date, r.daily_mean, r.daily_max, r.daily_min
+from daily k left join readings r on k.subject_id = r.subject_id and k.day_index = r.day_index""",
+    }
+
+
+_STATS_SUMMARY = (
+    "select count(distinct subject_id) as n_subjects, count(*) as n_valid_days, "
+    "count(daily_mean) as n_days_with_hr_data, count(*) - count(daily_mean) as n_days_missing_hr_data, "
+    + ", ".join(
+        f"round_even(avg({m}) * 10, 0) / 10 as mean_{m}_hr, round_even(stddev_samp({m}) * 10, 0) / 10 as sd_{m}_hr"
+        for m in ("daily_mean", "daily_max", "daily_min")
+    )
+    + " from stats"
+)
+
+
 def _collapsed(name: str, source: str, metrics: list[str], absent: list[str] = (), how: str = "mean") -> str:
     values = []
     for m in metrics:
@@ -152,7 +208,6 @@ select subject_id, date, {', '.join(values)} from ({source}) group by subject_id
 having count(*) = 1 or (subject_id is not null and date is not null)"""
 
 
-_SLEEP = [m for m in _ALL_METRICS if m.startswith(("total_", "stages_", "cnt_"))]
 _PRESENT = {
     "activity": ["steps", "distance"],
     "resting": ["resting_hr"],
@@ -163,7 +218,7 @@ _ABSENT = {
     "activity": ["calories"],
     "resting": [],
     "daily_hr": [],
-    "sleep": [m for m in _SLEEP if m not in _PRESENT["sleep"]],
+    "sleep": [m for m in SLEEP_METRICS if m not in _PRESENT["sleep"]],
 }
 _TRUE = "lower(is_valid_day) in ('true', '1')"
 
@@ -173,7 +228,7 @@ def _merged(keys: str, collapsed: dict[str, str]) -> dict[str, str]:
         f"left join {s} on k.subject_id is not distinct from {s}.subject_id and k.date is not distinct from {s}.date"
         for s in collapsed
     )
-    columns = ", ".join(f"{m}, coalesce({m}__missing, true) as {m}__missing" for m in _ALL_METRICS)
+    columns = ", ".join(f"{m}, coalesce({m}__missing, true) as {m}__missing" for m in ALL_METRICS)
     return {"keys": keys} | collapsed | {"merged": f"select k.subject_id, k.date, {columns} from keys k {joins}"}
 
 
@@ -182,10 +237,10 @@ def _coverage(where: str = _TRUE) -> dict[str, str]:
     return _merged(keys, {s: _collapsed(s, workload.daily_sql(s), _PRESENT[s], _ABSENT[s]) for s in _PRESENT})
 
 
-def _report(metrics: list[str] = _ALL_METRICS) -> str:
+def _report(metrics: Sequence[str] = ALL_METRICS) -> str:
     rows = []
     for place, m in enumerate(metrics):
-        if m in _ALL_METRICS:
+        if m in ALL_METRICS:
             count = f"cast(count_if({m}__missing) as bigint)"
             rate = f"case when count(*) = 0 then 0.0 else count_if({m}__missing) / cast(count(*) as double) end"
         else:
@@ -285,6 +340,7 @@ def statements() -> dict[str, str]:
     daily_columns = "subject_id, day_index, date, worn_minutes, expected_minutes, adherence_ratio, is_valid_day"
     activity_mean = "subject_id, date, steps, distance, calories"
     cohort = _cohort()
+    cohort_clean = dense | {"d": _deduped(), "z": _zeroed("d"), "c": _parsed("z")}
     return {
         "parse_minutes": _with(
             sparse,
@@ -389,16 +445,7 @@ from c join daily k on c.subject_id = k.subject_id and c.day_index = k.day_index
 where k.is_valid_day and c.hr_num > 0""",
         ),
         "daily_hr_stats": _with(_hr_stats(), "select * from stats"),
-        "hr_stats_summary": _with(
-            _hr_stats(),
-            "select count(distinct subject_id) as n_subjects, count(*) as n_valid_days, "
-            "count(daily_mean) as n_days_with_hr_data, count(*) - count(daily_mean) as n_days_missing_hr_data, "
-            + ", ".join(
-                f"round_even(avg({m}) * 10, 0) / 10 as mean_{m}_hr, round_even(stddev_samp({m}) * 10, 0) / 10 as sd_{m}_hr"
-                for m in _PRESENT["daily_hr"]
-            )
-            + " from stats",
-        ),
+        "hr_stats_summary": _with(_hr_stats(), _STATS_SUMMARY),
         "metric_keys": f"select distinct subject_id, date from ({workload.daily_sql('keys')}) where {_TRUE}",
         "collapse_mean": _with(
             {"a": _collapsed("activity", activity, _PRESENT["activity"], ["calories"])},
@@ -408,7 +455,7 @@ where k.is_valid_day and c.hr_num > 0""",
             {"a": _collapsed("activity", activity, _PRESENT["activity"], ["calories"], "first")},
             f"select {activity_mean} from a",
         ),
-        "merged_metrics": _with(_coverage(), f"select subject_id, date, {', '.join(_ALL_METRICS)} from merged"),
+        "merged_metrics": _with(_coverage(), f"select subject_id, date, {', '.join(ALL_METRICS)} from merged"),
         "missingness": _with(
             _coverage(), f"select metric, missing_count, missing_rate, total_keys from ({_report()})"
         ),
@@ -427,10 +474,34 @@ from compliance""",
         ),
         "compliance_histogram": _histogram(_dense_clean()),
         "compliance_histogram_sparse": _histogram(_sparse_clean()),
+        "dedup_last_from_files": _with(
+            sparse | {"d": _deduped()}, "select subject_id, date, time, hr, copies from d"
+        ),
+        "odd_minutes": _with(
+            _odd(),
+            f"select {columns}, day_index, minute_of_day, hr_num, ({_TIMED}) as ok_datetime, "
+            "coalesce(hr_num <> 0, false) as ok_hr_validminute from p",
+        ),
+        "odd_dedup": _with(_odd() | {"d": _deduped()}, f"select {columns}, copies from d"),
+        "odd_dedup_summary": _with(_odd() | {"d": _deduped(), "e": _odd_parsed("d")}, _DEDUP_SUMMARY),
+        "odd_outliers": _with(_odd_clean(), f"select {columns} from z"),
+        "odd_adherence": _with(_odd_clean() | _adherence(2), f"select {daily_columns} from daily"),
+        "odd_adherence_from_first_day": _with(
+            _odd_clean() | _adherence(2, "(select min(day_index) from obs)"), f"select {daily_columns} from daily"
+        ),
+        "odd_hr_stats": _with(_odd_stats(), "select * from stats"),
+        "odd_hr_summary": _with(_odd_stats(), _STATS_SUMMARY),
+        "odd_readings_on_repeated_days": _with(
+            _odd_clean() | _adherence(2),
+            """select subject_id, day_index, hr_num from p where hr_num > 0
+and (subject_id, day_index) in (select (subject_id, day_index) from daily where is_valid_day)""",
+        ),
+        "runs_over_blocks": _with({"daily": workload.long_sql()} | _runs(30), "select * from summary"),
         "cohort_flow": _with(
             cohort,
             " union all ".join(
                 [
+                    _stage("raw minutes", "raw"),
                     _stage("recorded minutes", "d", "sum(copies)"),
                     _stage("deduplicated minutes", "d"),
                     _stage("timed minutes", f"c where {_TIMED}"),
@@ -445,6 +516,28 @@ from compliance""",
         ),
         "cohort_raw_counts": _with(sparse, _stage("raw", "raw")),
         "cohort_dedup_summary": _with(dense | {"d": _deduped(), "e": _parsed("d")}, _DEDUP_SUMMARY),
+        "cohort_global_counts": _with(dense | {"rec": _REC, "grid": _grid("rec")}, _GLOBAL),
+        "cohort_outlier_counts": _with(
+            cohort,
+            f"""select count(*) as input_rows, count(*) filter (where h < 40 or h > 163) as outliers_detected,
+       count(*) filter (where h < 40) as outliers_too_low, count(*) filter (where h > 163) as outliers_too_high
+from (select {_num('hr')} as h from d)""",
+        ),
+        "cohort_hr_stats": _with(cohort, "select * from stats"),
+        "cohort_hr_summary": _with(cohort, _STATS_SUMMARY),
+        "cohort_participants": _with(
+            cohort,
+            """select count(*) as n_subjects, count(*) filter (where pass) as n_pass,
+       count(*) filter (where not pass) as n_fail,
+       round(count(*) filter (where pass) / cast(count(*) as double) * 100, 9) as pass_percent,
+       round(avg(max_run_len) filter (where pass), 9) as mean_run_len,
+       cast(median(max_run_len) filter (where pass) as double) as median_run_len,
+       min(max_run_len) filter (where pass) as min_run_len, max(max_run_len) filter (where pass) as max_run_len
+from summary""",
+        ),
+        "cohort_merged_metrics": _with(cohort, f"select subject_id, date, {', '.join(ALL_METRICS)} from merged"),
+        "cohort_compliance": _with(_compliance(cohort_clean), "select * from compliance"),
+        "cohort_histogram": _histogram(cohort_clean),
         "cohort_daily_pass": _with(cohort, f"select {daily_columns} from daily_pass"),
         "cohort_missingness": _with(
             cohort, f"select metric, missing_count, missing_rate, total_keys from ({_report()})"

@@ -1,7 +1,8 @@
 """The combined job: raw minutes and daily sources in, all result tables out.
 
-The raw minutes are read and shuffled once, for the dedup. One more pass over the
-deduplicated table yields the daily facts, and every later table is made from those.
+The raw minutes are read once, for the dedup, and for the first line of the flow their subjects
+once more. One pass over the deduplicated table yields the daily facts, and every later table
+is made from those.
 """
 
 from __future__ import annotations
@@ -128,16 +129,20 @@ def run(sources: Sources, cfg: Cohort = Cohort(), store: Store = _settle) -> dic
         "daily_compliance": compliance,
         "compliance_summary": spread.compliance_totals(values, cfg.compliance.threshold_ratio),
         "compliance_histogram": spread.histogram(values, cfg.compliance.bins),
-        "cohort_flow": _flow(by_day, daily, daily_pass, with_hr, merged),
+        "cohort_flow": _flow(raw, by_day, daily, daily_pass, with_hr, merged),
     }
 
 
 def _flow(
-    by_day: DataFrame, daily: DataFrame, daily_pass: DataFrame, with_hr: DataFrame, merged: DataFrame
+    raw: DataFrame, by_day: DataFrame, daily: DataFrame, daily_pass: DataFrame, with_hr: DataFrame, merged: DataFrame
 ) -> DataFrame:
-    """stage, rows, subjects: what each stage is left with, minutes first, then days."""
+    """stage, rows, subjects: what each stage is left with, minutes first, then days.
+
+    Of the raw minutes this reads the subjects alone, one column of a columnar table.
+    """
     one = F.lit(1)
     stages = [
+        ("raw minutes", raw.select("subject_id"), one),
         ("recorded minutes", by_day.where("recorded_minutes > 0"), F.col("recorded_minutes")),
         ("deduplicated minutes", by_day.where("kept_rows > 0"), F.col("kept_rows")),
         ("timed minutes", by_day.where("timed_rows > 0"), F.col("timed_rows")),

@@ -109,7 +109,7 @@ def heart_rate(
     cleaned_path: Path,
     outdir: Path,
     cfg: HeartRateStats = HeartRateStats(),
-    name: str = "daily_hr_stats__valid_days",
+    name: str = "daily_hr_stats",
     fmt: str = "csv",
 ) -> steps.DailyReadings:
     keys = valid_day_keys(read_table(spark, keys_path, fmt), cfg.filter_valid_days)
@@ -176,7 +176,10 @@ def whole_cohort(
     cfg: Cohort = Cohort(),
     fmt: str = "csv",
 ) -> dict[str, DataFrame]:
-    """The combined job from files to files. What later tables are made from is kept as Parquet."""
+    """The combined job from files to files, with the same sorted tables in every format.
+
+    What later tables are made from is kept as Parquet under ``tables``.
+    """
 
     def daily_table(path: Path) -> DataFrame:
         return read_table(spark, path, fmt, ordered=cfg.missingness.collapse == "first")
@@ -188,18 +191,18 @@ def whole_cohort(
         daily_table(sleep_path),
         daily_table(daily_hr_path) if daily_hr_path else None,
     )
-    placed: set[str] = set()
+
+    kept: dict[str, DataFrame] = {}
 
     def store(name: str, table: DataFrame) -> DataFrame:
-        if fmt != "parquet":
-            return write_table(table, _at(outdir, f"tables/{name}"))
-        placed.add(name)
-        return write_table(table, _at(outdir, name))
+        kept[name] = write_table(table, _at(outdir, f"tables/{name}"))
+        return kept[name]
 
     def finish(name: str, table: DataFrame) -> DataFrame:
-        if name in placed:
-            return table
-        ordered = table.orderBy(*_SORTED_BY[name]) if name in _SORTED_BY else table
-        return write_table(ordered, _at(outdir, name), fmt)
+        if name == "daily_hr_stats":  # sorted by a column that it does not have
+            table = kept["daily_hr_by_day"].orderBy("subject_id", "day_index").drop("day_index")
+        elif name in _SORTED_BY:
+            table = table.orderBy(*_SORTED_BY[name])
+        return write_table(table, _at(outdir, name), fmt)
 
     return {name: finish(name, table) for name, table in cohort.run(sources, cfg, store).items()}

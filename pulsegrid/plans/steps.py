@@ -1,8 +1,8 @@
 """The eight quality-control steps on DataFrames.
 
 Each step takes raw or typed tables and returns its result tables. They are lazy but for one
-thing: a table of days that a step reads more than once is settled first, so that the
-minutes are scanned once.
+thing: a table made from the minutes that more than one result reads is settled first, so that
+the minutes are scanned once, however many of the results are used.
 """
 
 from __future__ import annotations
@@ -82,11 +82,10 @@ def count_collected_days(raw: DataFrame, cfg: CollectedDays = CollectedDays()) -
 def remove_duplicates(raw: DataFrame, cfg: Duplicates = Duplicates()) -> Deduplicated:
     """One row per minute of the recorded rows. ``raw`` needs ``src_order``.
 
-    The times are always normalised first. Both results come from one grouping, which
-    runs once per result unless the minutes are written first (see ``files``).
+    The times are always normalised first. The minutes are grouped once and settled.
     """
     require_columns(raw, [*MINUTE_COLUMNS, SRC_ORDER], "minute table")
-    kept = minutes.keep_one(with_full_time(minutes.recorded_rows(raw, short=True)), cfg.key, cfg.keep)
+    kept = settle(minutes.keep_one(with_full_time(minutes.recorded_rows(raw, short=True)), cfg.key, cfg.keep))
     return Deduplicated(kept, minutes.duplicate_counts(minutes.kept_by_day(kept)))
 
 
@@ -124,7 +123,7 @@ def daily_heart_rate(
     """Mean, highest and lowest reading of each day in the key table."""
     require_columns(cleaned, MINUTE_COLUMNS, "minute table")
     wanted = valid_day_keys(keys, cfg.filter_valid_days)
-    daily = readings.stats_on_days(wanted, facts.readings_by_day(cleaned))
+    daily = settle(readings.stats_on_days(wanted, facts.readings_by_day(cleaned)))
     return DailyReadings(daily.drop("day_index"), readings.stats_totals(daily))
 
 

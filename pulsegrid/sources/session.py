@@ -7,7 +7,10 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 16, memory: str = "12g") -> SparkSession:
+def local_session(
+    cores: int | str = 8, shuffle_partitions: int = 16, memory: str = "12g", folder: str | None = None
+) -> SparkSession:
+    """``folder`` takes the settled tables; without it, a new temporary folder does."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("pulsegrid")
@@ -16,6 +19,6 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 16, memory: st
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pulsegrid-"))
+        .config("spark.checkpoint.dir", folder or tempfile.mkdtemp(prefix="pulsegrid-"))
         .getOrCreate()
     )

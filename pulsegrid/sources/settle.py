@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders of the jobs that run just now in this driver, innermost last.
+_JOBS: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that every executor reaches, as the session names it."""
@@ -21,6 +26,23 @@ def settle(df: DataFrame) -> DataFrame:
     Losing executors later costs nothing: the table is on shared storage. Being columnar,
     it is pruned on every read, and its size is known when a join picks its strategy.
     """
-    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    folder = _JOBS[-1] if _JOBS else shared_folder(df.sparkSession)
+    path = f"{folder}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settled_for(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, what was settled inside: use it around a job that has stored its results.
+
+    Frames made inside cannot be read any more afterwards.
+    """
+    folder = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
+    _JOBS.append(folder)
+    try:
+        yield
+    finally:
+        _JOBS.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -14,10 +14,10 @@ from pulsegrid.functions.text import null_texts, number, truth, whole
 
 SRC_ORDER = "src_order"
 
-# A file's rank is shifted above any offset within a file (8 TiB).
-_OFFSET_BITS = 43
 _ROW_MASK = (1 << 33) - 1
-_MAX_RANKED_FILES = 50_000
+_ORDER_BITS = 63
+# The table of file ranks is broadcast while its paths come to at most so many characters.
+_MOST_RANK_CHARS = 64_000_000
 
 
 def require_columns(df: DataFrame, required: Iterable[str], name: str = "Input") -> DataFrame:
@@ -36,14 +36,16 @@ def read_table(
 ) -> DataFrame:
     """A raw table with lower-case column names and nulls for the "no value" texts.
 
-    CSV cells stay text. ``ordered`` adds ``src_order``, which sorts rows as they stand in
+    CSV cells stay text; in a folder, every file has to have the same header. ``ordered`` adds ``src_order``, which sorts rows as they stand in
     the file, files by path; a table that has the column keeps its own. It is what "first"
     and "last" mean in the operators.
     """
     path = str(path)
     try:
         if fmt == "csv":
-            raw = spark.read.option("header", True).option("escape", '"').csv(path)
+            # Each file's header must name the same columns in the same order: one that does not is an
+            # error, where it would otherwise fill the wrong columns.
+            raw = spark.read.options(header=True, escape='"', enforceSchema=False).csv(path)
         else:
             raw = spark.read.format(fmt).load(path)
     except AnalysisException as error:
@@ -68,31 +70,32 @@ def _cell(raw: DataFrame, name: str) -> Column:
 
 
 def _with_src_order(raw: DataFrame, cells: list[Column], fmt: str) -> DataFrame:
-    """Adds the row order as one BIGINT, so that aggregates can keep it in a fixed-width buffer.
+    """Adds the row order as one BIGINT, whatever the number of files.
 
-    Within a file, Parquet gives the row number. For CSV it is the byte offset of the split
-    plus the row's number in the task: a row takes a byte at least, so the next split starts
-    higher. Files are ranked by path through a small lookup table. With more files than the
-    table may hold, the order is the pair (path, offset) instead, which sorts the same way.
+    Aggregates can so keep it in a fixed-width buffer, and every sink takes it. Within a file,
+    Parquet gives the row number. For CSV it is the byte offset of the split plus the row's
+    number in the task: a row takes a byte at least, so the next split starts higher. The file's
+    rank by path stands in the bits above: as many as the number of files needs, and the rest is
+    left to the offset. An offset that does not fit raises.
     """
     if fmt == "parquet":
         offset = F.col("_metadata.row_index")
     else:
         row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK))
         offset = F.col("_metadata.file_block_start") + row_in_task
-    offset = offset.alias("_offset")
     files = sorted(raw.inputFiles())
     if len(files) <= 1:
         return raw.select(*cells, offset.alias(SRC_ORDER))
-    placed = raw.select(*cells, offset, F.input_file_name().alias("_path"))
-    if len(files) > _MAX_RANKED_FILES:
-        order = F.struct("_path", "_offset")
-    else:
-        spark = raw.sparkSession
-        ranks = spark.createDataFrame(list(zip(files, range(len(files)), strict=True)), "_path string, _rank long")
-        placed = placed.join(F.broadcast(ranks), "_path", "left")
-        rank = F.coalesce("_rank", F.raise_error(F.concat(F.lit("file without a rank: "), "_path")).cast("bigint"))
-        order = F.shiftleft(rank, _OFFSET_BITS).bitwiseOR(F.col("_offset"))
+    bits = _ORDER_BITS - (len(files) - 1).bit_length()
+    ranks = raw.sparkSession.createDataFrame(list(zip(files, range(len(files)), strict=True)), "_path string, _rank long")
+    if sum(map(len, files)) <= _MOST_RANK_CHARS:
+        ranks = F.broadcast(ranks)
+    placed = raw.select(*cells, offset.alias("_offset"), F.input_file_name().alias("_path")).join(ranks, "_path", "left")
+    problem = F.when(F.col("_rank").isNull(), F.concat(F.lit("file without a rank: "), "_path")).when(
+        F.shiftright("_offset", bits) > 0, F.concat(F.lit(f"too long for {len(files)} files: "), "_path")
+    )
+    order = F.shiftleft("_rank", bits).bitwiseOR(F.col("_offset"))
+    order = F.when(problem.isNull(), order).otherwise(F.raise_error(problem).cast("bigint"))
     return placed.withColumn(SRC_ORDER, order).drop("_offset", "_path", "_rank")
 
 

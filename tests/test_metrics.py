@@ -126,3 +126,35 @@ def test_daily_heart_rate_of_nothing(spark, minutes):
     keys = spark.createDataFrame([], "subject_id string, day_index long, date string, is_valid_day boolean")
     summary = steps.daily_heart_rate(keys, minutes(("a", "day0", "09:30", "60"))).summary
     assert rows(summary) == [(0, 0, 0, 0, *[None] * 6)]
+
+
+def test_a_hot_day_is_split_in_the_semi_join(spark):
+    """Nine of ten rows belong to one subject-day; the adaptive plan splits it, repeated keys or not."""
+    from pyspark.sql import functions as F
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 40))
+        many = spark.range(0, 200_000, 1, 8).select(
+            hot.alias("subject_id"), F.lit(3).cast("bigint").alias("day_index"), F.rand(1).alias("hr_num")
+        )
+        keys = spark.createDataFrame([("hot", 3, "day3"), ("hot", 3, "day3"), ("s0", 3, "day3")], "subject_id string, day_index long, date string")
+        kept = readings.rows_on_days(many, keys)
+        assert kept.count() == 180_000 + many.where("subject_id = 's0'").count()
+        kept.write.format("noop").mode("overwrite").save()
+        found = kept.select("subject_id", "hr_num")
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -68,6 +68,21 @@ def test_dedup_of_one_hot_minute(spark):
     assert rows(summary) == [(1, 19998, 0)]
 
 
+def test_dedup_keeps_the_readings_text(minutes):
+    texts = ["72", "72.0", " 7.2e1", "+00072.50", "-5", "1" * 28, "72." + "0" * 30 + "1", "inf", "7", "\t99 "]
+    df = minutes(*[("a", "day0", f"09:{at:02d}:00", text) for at, text in enumerate(texts)])
+    kept = ops.keep_one(df)
+    assert plan(kept).count("hashpartitioning") == 1
+    found = [r.hr for r in kept.orderBy("src_order").collect()]
+    assert found == texts
+    nothing = ops.keep_one(minutes(("a", "day0", "09:30:00", None), ("a", "day0", "09:31:00", "")).drop("copies"))
+    assert [r.hr for r in nothing.orderBy("time").collect()] == [None, ""]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dedup_by_another_key(minutes):
     df = minutes(("a", "day1", "09:30", "70"), ("b", "day1", "09:30", "80"))
     kept, _ = steps.remove_duplicates(df, Duplicates(key=("date", "time")))

@@ -80,7 +80,8 @@ def test_combined_job_equals_the_steps(spark, events, mode):
     recorded = minute_ops.recorded_rows(events, short=True).count()
     assert summary.filtered_rows + summary.removed_duplicates_rows == recorded
     assert all(r.missing_count <= r.total_keys for r in together["step7_summary"].collect())
-    assert together["cohort_flow"].first().rows == recorded
+    flow = [r.rows for r in together["cohort_flow"].collect()]
+    assert flow[:2] == [events.count(), recorded]
 
 
 def test_results_do_not_depend_on_partitions(spark, events):
@@ -110,14 +111,33 @@ def test_one_subject_with_most_rows(spark):
     assert {(r.subject_id, r.day_index): r.worn_minutes for r in facts.observed_days(kept).collect()} == worn
 
 
+def read_in_order(spark, path, fmt, *columns):
+    """The rows as they stand in the part files, one file after another."""
+    out = []
+    for part in sorted(path.glob("part-*")):
+        reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+        out += [tuple(r) for r in reader.format(fmt).load(str(part)).select(*columns).collect()]
+    return out
+
+
+@pytest.mark.parametrize("parts", [1, 6])
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
-def test_files_to_files(spark, events, tmp_path, fmt):
-    """The steps over files give what the same steps give over frames, row order included."""
+def test_files_to_files(spark, events, tmp_path, fmt, parts, monkeypatch):
+    """The steps over files give what the same steps give over frames, row order included.
+
+    With several files no rank table may be broadcast, as when there are very many.
+    """
+    if parts > 1:
+        monkeypatch.setattr("pulsegrid.sources.tables._MOST_RANK_CHARS", 0)
+
     def put(name, table):
         table.coalesce(1).write.format(fmt).option("header", True).save(str(tmp_path / name))
         return tmp_path / name
 
-    raw = put("raw", events.orderBy("src_order").drop("src_order"))
+    raw = tmp_path / "raw"
+    ordered = events.repartitionByRange(parts, "src_order").sortWithinPartitions("src_order").drop("src_order")
+    ordered.write.format(fmt).option("header", True).save(str(raw))
+    assert len(list(raw.glob("part-*"))) == parts
     activity, resting, sleep = [
         put(name, table) for name, table in zip(("activity", "resting", "sleep"), daily_inputs(spark), strict=True)
     ]
@@ -136,7 +156,7 @@ def test_files_to_files(spark, events, tmp_path, fmt):
     stats = files.heart_rate(spark, out / "daily_adherence", cleaned, out, fmt=fmt)
     assert rows(stats.summary) == rows(apart["step6_summary"])
     report = files.coverage(
-        spark, out / "daily_adherence_pass_subjects", activity, resting, out / "daily_hr_stats__valid_days", sleep,
+        spark, out / "daily_adherence_pass_subjects", activity, resting, out / "daily_hr_stats", sleep,
         out, SMALL.missingness, fmt,
     ).report
     assert rows(report) == rows(apart["step7_summary"])
@@ -146,6 +166,20 @@ def test_files_to_files(spark, events, tmp_path, fmt):
     tables = files.whole_cohort(spark, raw, activity, resting, sleep, tmp_path / "all", cfg=SMALL, fmt=fmt)
     for name in ("global_counts", "step2_summary", "step3_summary", "step4_summary", "step6_summary", "step7_summary"):
         assert rows(tables[name], *apart[name].columns) == rows(apart[name]), name
+    for name, columns in (
+        ("daily_adherence", ("subject_id", "day_index")),
+        ("daily_adherence_pass_subjects", ("subject_id", "day_index")),
+        ("daily_compliance", ("subject_id", "day_index")),
+        ("daily_hr_stats", ("subject_id", "date")),
+        ("subjects_pass", ("subject_id",)),
+        ("subjects_fail", ("subject_id",)),
+        ("merged_metrics", ("subject_id", "date")),
+    ):
+        found = read_in_order(spark, tmp_path / "all" / name, fmt, *columns)
+        number = lambda r: (r[0], *[int(str(c).lower().removeprefix("day")) for c in r[1:]])
+        key = (lambda r: tuple(c or "" for c in r)) if name == "merged_metrics" else number
+        assert found == sorted(found, key=key), name
+    assert tables["daily_hr_stats"].columns == ["subject_id", "date", "daily_mean", "daily_max", "daily_min"]
     assert (tmp_path / "all" / "merged_metrics").is_dir()
     assert len(tables["merged_metrics"].columns) == 2 + len(ALL_METRICS)
 
@@ -158,3 +192,49 @@ def test_the_label_is_parsed_after_the_first_aggregate(events, capsys):
     assert "partial_bit_or" in first and "HashAggregate" in first
     assert "startswith" not in first.lower()
     assert "SortAggregate" not in first
+
+
+class Scans:
+    """Counts how often a frame's rows are made, through an accumulator in a Python function."""
+
+    def __init__(self, spark, df):
+        seen = spark.sparkContext.accumulator(0)
+
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        self.seen, self.df = seen, df.mapInArrow(count, df.schema)
+
+
+def test_minutes_are_read_once_for_both_results(spark, events):
+    n = events.count()
+    scans = Scans(spark, events)
+    result = steps.remove_duplicates(scans.df)
+    result.minutes.collect(), result.summary.collect()
+    assert scans.seen.value == n
+    cleaned = settle(steps.remove_outliers(result.minutes.drop("copies")).minutes)
+    daily = settle(steps.find_valid_days(cleaned, SMALL.valid_days).daily)
+    scans = Scans(spark, cleaned)
+    result = steps.daily_heart_rate(daily, scans.df)
+    result.daily.collect(), result.summary.collect()
+    assert scans.seen.value == cleaned.count()
+
+
+def test_what_a_job_settled_is_removed_at_its_end(spark, events, tmp_path):
+    from pathlib import Path
+
+    from pulsegrid.sources.settle import settled_for, shared_folder
+
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    with settled_for(spark):
+        table = settle(events)
+        assert table.count() == events.count()
+        inside = set(folder.iterdir()) - before
+        assert len(inside) == 1
+        with settled_for(spark):
+            settle(events)
+        assert set(folder.iterdir()) - before == inside
+    assert set(folder.iterdir()) == before

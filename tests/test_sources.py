@@ -55,12 +55,37 @@ def test_csv_row_order_over_files(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_row_order_with_too_many_files_for_the_lookup(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("pulsegrid.sources.tables._MAX_RANKED_FILES", 1)
-    for at in range(3):
+@pytest.mark.parametrize("most", [0, 64_000_000])
+def test_row_order_is_one_number_however_many_files(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr("pulsegrid.sources.tables._MOST_RANK_CHARS", most)
+    for at in range(5):
         (tmp_path / f"{at}.csv").write_text("subject_id,date,time,hr\n" + f"s,day0,09:30,{at}0\ns,day0,09:30,{at}1\n")
     df = read_minutes(spark, tmp_path)
-    assert [r.hr for r in df.orderBy("src_order").collect()] == ["00", "01", "10", "11", "20", "21"]
+    assert dict(df.dtypes)["src_order"] == "bigint"
+    assert [r.hr for r in df.orderBy("src_order").collect()] == [f"{a}{b}" for a in range(5) for b in range(2)]
+
+
+def test_an_offset_that_does_not_fit_raises(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("pulsegrid.sources.tables._ORDER_BITS", 3)
+    for at in range(4):
+        (tmp_path / f"{at}.csv").write_text("subject_id,date,time,hr\n" + "s,day0,09:30,1\n" * 5)
+    with pytest.raises(Exception, match="too long for 4 files"):
+        read_minutes(spark, tmp_path).collect()
+
+
+HEADERS = ("subject_id,date,time,hr", "date,subject_id,time,hr")
+
+
+def test_csv_files_of_another_column_order_are_an_error(spark, tmp_path):
+    cells = {"subject_id": "s", "date": "day1", "time": "09:30", "hr": "70"}
+    for at, header in enumerate(HEADERS):
+        (tmp_path / f"{at}.csv").write_text(header + "\n" + ",".join(cells[c] for c in header.split(",")) + "\n")
+    with pytest.raises(Exception, match="header"):
+        read_minutes(spark, tmp_path, ordered=False).collect()
+    with pytest.raises(Exception, match="header"):
+        read_minutes(spark, tmp_path, ordered=False).select("subject_id", "hr").collect()
+    for at, header in enumerate(HEADERS):
+        assert rows(read_minutes(spark, tmp_path / f"{at}.csv", ordered=False), "subject_id", "date") == [("s", "day1")]
 
 
 def test_parquet_row_order(spark, tmp_path):

@@ -1,8 +1,10 @@
 """Wearable tables derived from the driver's tables, for the queries, the tests and the bench.
 
-Three inputs are made, each from whole tables:
+Five inputs are made, each from whole tables:
 sparse  dirty minute rows from events
-dense   full days of minutes from supplier: every supplier, 14 days, every minute
+odd     minute rows from events in every spelling that the parsers take or refuse, first day above 0, days below 0
+dense   full days of minutes from supplier: every supplier, 14 days, every minute, one in 97 of them twice
+long    years of days from lineitem, with runs over the borders of day blocks, and days listed twice
 daily   four metric tables and a key table from orders, lineitem and events
 
 Each is stated twice, for Spark and as the text that the check engine runs.
@@ -52,8 +54,51 @@ def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_null_texts(spark.sql(query, events=table(spark, sf_dir, "events")))
 
 
+# {tab} is a tab; every twelfth label, seventh time and thirteenth reading is spelled in one odd way.
+_ODD = """
+select event_id as src_order, concat('s', cast(user_id % 20 as {text})) as subject_id,
+       case event_id % 12 when 0 then concat('  Day', cast({days} + 3 as {text}), '{tab}')
+                          when 1 then concat('DAY', cast({days} + 3 as {text}))
+                          when 2 then concat('day', cast({days} + 3 as {text}), '.0')
+                          when 3 then concat('day-', cast(1 + {days} % 3 as {text}))
+                          when 4 then concat('day', cast({days} + 3 as {text}), '.5')
+                          when 5 then concat('day ', cast({days} + 3 as {text}), 'e0')
+                          when 6 then concat('da', cast({days} as {text}))
+                          else concat('day', cast({days} + 3 as {text})) end as date,
+       case event_id % 7 when 0 then concat(' ', lpad(cast(hour(ts) as {text}), 2, '0'), ':30 ')
+                         when 1 then concat(cast(hour(ts) as {text}), ':5:7')
+                         when 2 then '24:00:00'
+                         else concat(lpad(cast(hour(ts) as {text}), 2, '0'), ':30:00') end as time,
+       case event_id % 13 when 0 then '1e2' when 1 then 'inf' when 2 then ' 80 ' when 3 then '+90' when 4 then '.5e2'
+                          when 5 then '72d' when 6 then '-Infinity' when 7 then '0x1p3' when 8 then '-0'
+                          else cast(cast(floor(value) as bigint) as {text}) end as hr
+from {events}"""
+
+_LONG = """
+select subject_id, day_index, concat('day', cast(day_index as {text})) as date, is_valid_day
+from (select concat('s', cast(l_suppkey % 8 as {text})) as subject_id, {days} as day_index,
+             max(l_quantity) > 1 as is_valid_day
+      from {lineitem} group by 1, 2) as days
+where day_index % 611 <> 7
+union all
+select concat('s', cast(l_suppkey % 8 as {text})), {days}, 'again', true
+from {lineitem} where {days} % 389 = 5 group by 1, 2"""
+
+
+def odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = "datediff(cast(ts as date), date'2024-01-01')"
+    query = _ODD.replace("{text}", "string").replace("{days}", days).replace("{tab}", "\t")
+    return _without_null_texts(spark.sql(query, events=table(spark, sf_dir, "events")))
+
+
+def long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = "cast(datediff(cast(l_shipdate as date), date'1992-01-01') as bigint)"
+    query = _LONG.replace("{text}", "string").replace("{days}", days)
+    return spark.sql(query, lineitem=table(spark, sf_dir, "lineitem"))
+
+
 def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, d, m = F.col("s_suppkey"), F.col("d"), F.col("m")
+    k, d, m, c = F.col("s_suppkey"), F.col("d"), F.col("m"), F.col("c")
     tasks = spark.sparkContext.defaultParallelism * 2
     on = F.when((k * 5 + d * 3) % 13 < 2, (m * 7 + d) % 100 < 60).otherwise((m * 7 + d) % 100 < 95)
     two = lambda c: F.lpad(c.cast("string"), 2, "0")
@@ -63,25 +108,27 @@ def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
         .repartition(tasks, "s_suppkey")
         .withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(DAYS - 1))))
         .withColumn("m", F.explode(F.sequence(F.lit(0), F.lit(1439))))
+        .withColumn("c", F.explode(F.sequence(F.lit(0), F.when((k + d + m) % 97 == 0, 1).otherwise(0))))
     )
     return rows.select(
-        ((k * DAYS + d) * 1440 + m).alias("src_order"),
+        (((k * DAYS + d) * 1440 + m) * 2 + c).alias("src_order"),
         F.concat(F.lit("subject."), F.lpad(k.cast("string"), 4, "0")).alias("subject_id"),
         F.when(~((k % 4 == 1) & d.isin(5, 6)), F.concat(F.lit("day"), d.cast("string"))).alias("date"),
         F.concat(two(F.floor(m / 60)), F.lit(":"), two(m % 60), F.lit(":00")).alias("time"),
-        F.when(on, (50 + (k * 31 + d * 17 + m * 7) % 130).cast("string")).otherwise(F.lit("0")).alias("hr"),
+        F.when(on, (50 + (k * 31 + d * 17 + m * 7 + c * 5) % 130).cast("string")).otherwise(F.lit("0")).alias("hr"),
     )
 
 
 _DENSE = """
-select (k * 14 + d) * 1440 + m as src_order,
+select ((k * 14 + d) * 1440 + m) * 2 + c as src_order,
        'subject.' || lpad(cast(k as varchar), 4, '0') as subject_id,
        case when not (k % 4 = 1 and d in (5, 6)) then 'day' || cast(d as varchar) end as date,
        lpad(cast(m // 60 as varchar), 2, '0') || ':' || lpad(cast(m % 60 as varchar), 2, '0') || ':00' as time,
        case when case when (k * 5 + d * 3) % 13 < 2 then (m * 7 + d) % 100 < 60 else (m * 7 + d) % 100 < 95 end
-            then cast(50 + (k * 31 + d * 17 + m * 7) % 130 as varchar) else '0' end as hr
-from (select s_suppkey as k, d, m
-      from supplier, unnest(range(0, 14)) as days(d), unnest(range(0, 1440)) as minutes(m))"""
+            then cast(50 + (k * 31 + d * 17 + m * 7 + c * 5) % 130 as varchar) else '0' end as hr
+from (select s_suppkey as k, d, m, c
+      from supplier, unnest(range(0, 14)) as days(d), unnest(range(0, 1440)) as minutes(m), unnest(range(0, 2)) as copies(c)
+      where c = 0 or (s_suppkey + d + m) % 97 = 0)"""
 
 
 # {subject} pads a number, {quarter} numbers a date's 90-day period since 1995.
@@ -155,6 +202,17 @@ def sparse_sql() -> str:
     return f"select src_order, {', '.join(map(_null, ('subject_id', 'date', 'time', 'hr')))} from ({raw})"
 
 
+def odd_sql() -> str:
+    raw = _ODD.replace("{text}", "varchar").replace("{events}", "events").replace("{tab}", "\t")
+    raw = raw.replace("{days}", "date_diff('day', date '2024-01-01', cast(ts as date))")
+    return f"select src_order, {', '.join(map(_null, ('subject_id', 'date', 'time', 'hr')))} from ({raw})"
+
+
+def long_sql() -> str:
+    days = "date_diff('day', date '1992-01-01', cast(l_shipdate as date))"
+    return _LONG.replace("{text}", "varchar").replace("{days}", days).replace("{lineitem}", "lineitem")
+
+
 def dense_sql() -> str:
     return _DENSE
 
