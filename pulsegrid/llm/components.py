@@ -16,7 +16,7 @@ def _star(edges: DataFrame) -> DataFrame:
     """u > v. Each node sends its larger neighbours, then itself and its smaller ones, to the least of them."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     least = large.groupBy("u").agg(F.min("v").alias("m"))
     small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
     return small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()

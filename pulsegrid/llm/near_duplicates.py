@@ -234,68 +234,69 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
                         if linked(_set(r["high_a"], r["low_a"]), _set(r["high_b"], r["low_b"]), percent):
                             out.append((r["a"], r["b"]))
                         break
-            columns = list(zip(*out, strict=True)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+            yield _pairs(out)
 
     near = (100 * F.least("n_a", "n_b")) >= (percent * F.greatest("n_a", "n_b"))
     return pairs.join(side("a"), "a").join(side("b"), "b").where(near).mapInArrow(run, "a long, b long")
 
 
-def _stray_links(group, percent: int):
-    """Links between the strays of a block and others, all of which share the bucket ``key``."""
-    import pandas as pd
-
-    key, lowest = group["key"].iloc[0], lowest_estimate(percent)
-    strays, others = group[group["stray"]], group[~group["stray"]]
-    powers = set.intersection(*[set(r) for r in group["rounds"]])
-    found = []
-    for power in sorted(powers):
-        sketch = lambda rows: np.stack([_sketch(r, d, power) for r, d in zip(rows["rounds"], rows["registers"], strict=True)])
-        if not len(strays) or not len(others):
-            break
-        x, y = sketch(strays), sketch(others)
-        bands = np.flatnonzero(band_keys(x[0], power) == key)
+def _block_links(rows: list[dict], percent: int) -> list[tuple[int, int]]:
+    """Links between the strays of a block and others; all of them share the bucket ``key``."""
+    strays, others = [r for r in rows if r["stray"]], [r for r in rows if not r["stray"]]
+    if not strays or not others:
+        return []
+    key, lowest, found = rows[0]["key"], lowest_estimate(percent), []
+    names, labels = np.array([r["cls"] for r in others]), np.array([r["label"] for r in others])
+    sizes = np.array([r["n"] for r in others], float)
+    sets: dict[int, np.ndarray] = {}
+    root: dict[int, int] = {}
+
+    def top(v: int) -> int:
+        while v in root:
+            v = root[v]
+        return v
+
+    for power in sorted(set.intersection(*[set(r["rounds"]) for r in rows])):
+        first = _sketch(strays[0]["rounds"], strays[0]["registers"], power)
+        bands = np.flatnonzero(band_keys(first, power) == key)
         if not len(bands):
             continue
         band = int(bands[0])
-        sizes = others["n"].to_numpy(float)
-        names, labels = others["cls"].to_numpy(), others["label"].to_numpy()
-        root = {}
-
-        def top(v):
-            while v in root:
-                v = root[v]
-            return v
-
-        sets: dict[int, np.ndarray] = {}
-        for i, row in enumerate(strays.itertuples()):
-            same = ((y == x[i]) & (y > 0)).sum(1)
-            used = ((y > 0) | (x[i] > 0)).sum(1)
-            good = estimate(same, used, row.n, sizes, power) >= lowest
-            good &= (labels != row.label) & (names != row.cls)
-            good &= 100 * np.minimum(sizes, row.n) >= percent * np.maximum(sizes, row.n)
+        y = np.stack([_sketch(r["rounds"], r["registers"], power) for r in others])
+        for row in strays:
+            x = _sketch(row["rounds"], row["registers"], power)
+            good = (labels != row["label"]) & (names != row["cls"])
+            good &= 100 * np.minimum(sizes, row["n"]) >= percent * np.maximum(sizes, row["n"])
             at = np.flatnonzero(good)
             if band and len(at):  # of the bands that two share, the first one compares them
-                before = (y[at, : band * ROWS] == x[i, : band * ROWS]).reshape(len(at), band, ROWS).all(2).any(1)
+                before = (y[at, : band * ROWS] == x[: band * ROWS]).reshape(len(at), band, ROWS).all(2).any(1)
                 at = at[~before]
             if not len(at):
                 continue
-            own = _set(row.high, row.low)
-            for j in at[np.argsort(-same[at], kind="stable")]:
-                one, two = top(row.label), top(labels[j])
+            same = ((y[at] == x) & (y[at] > 0)).sum(1)
+            used = ((y[at] > 0) | (x > 0)).sum(1)
+            near = estimate(same, used, row["n"], sizes[at], power) >= lowest
+            own = None
+            for j in at[near][np.argsort(-same[near], kind="stable")]:
+                one, two = top(row["label"]), top(int(labels[j]))
                 if one == two:
                     continue
+                if own is None:
+                    own = _set(row["high"], row["low"])
                 if j not in sets:
-                    other = others.iloc[j]
-                    sets[j] = _set(other["high"], other["low"])
+                    sets[j] = _set(others[j]["high"], others[j]["low"])
                 if linked(own, sets[j], percent):
-                    found.append((row.cls, names[j]))
+                    found.append((row["cls"], int(names[j])))
                     root[max(one, two)] = min(one, two)
-    return pd.DataFrame(found, columns=["a", "b"])
+    return found
 
 
 def stray_links(labelled: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links that the stars may have missed: labelled has key, cls, label and centre (the centre's label)."""
+    """Links that the stars may have missed: labelled has key, cls, label and centre (the centre's label).
+
+    The rows of a block, at most STRAYS + OTHERS, follow each other in a sorted partition, so a
+    task holds one block at a time.
+    """
     stray = F.col("label") != F.col("centre")
     sizes = labelled.groupBy("key").agg(F.count("*").alias("all"), F.sum(stray.cast("int")).alias("strays")).where("strays > 0")
     rows = labelled.withColumn("is_stray", stray).join(sizes, "key")
@@ -306,8 +307,26 @@ def stray_links(labelled: DataFrame, sets: DataFrame, percent: int = PERCENT) ->
     rows = rows.withColumns({"s": mine(F.col("n_s")), "o": mine(F.col("n_o"))})
     as_other = rows.select("key", "cls", "label", F.explode(every(F.col("n_s"))).alias("s"), "o", F.lit(False).alias("stray"))
     as_stray = rows.where("is_stray").select("key", "cls", "label", "s", F.explode(every(F.col("n_o"))).alias("o"), F.lit(True).alias("stray"))
-    dealt = as_other.unionByName(as_stray).join(sets, "cls")
-    return dealt.groupBy("key", "s", "o").applyInPandas(lambda g: _stray_links(g, percent), "a long, b long")
+    dealt = as_other.unionByName(as_stray).join(sets, "cls").repartition("key", "s", "o").sortWithinPartitions("key", "s", "o")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: list[dict] = []
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                if block and any(row[c] != block[0][c] for c in ("key", "s", "o")):
+                    out += _block_links(block, percent)
+                    block = []
+                block.append(row)
+            yield _pairs(out)
+        yield _pairs(_block_links(block, percent) if block else [])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [(), ()]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
