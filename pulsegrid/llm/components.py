@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.frames import settle_few, tasks_for
 from pulsegrid.sources.settle import settle
 
+#: Edges that one task writes.
+EDGES_PER_TASK = 100_000
+
 
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first())
@@ -30,10 +34,10 @@ def components(edges: DataFrame) -> DataFrame:
     step is stored, so lineage stays short. Loops and repeated edges are harmless.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    edges = settle(edges.distinct())
+    edges = settle(edges)
     mark = _mark(edges)
     while mark[0]:
-        edges = settle(_star(edges))
+        edges = settle_few(_star(edges), tasks_for(mark[0], EDGES_PER_TASK))
         before, mark = mark, _mark(edges)
         if mark == before:
             break

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrid.sources.settle import settle
 from pulsegrid.sources.tables import require_columns
 
 
@@ -28,3 +29,12 @@ def text_fold(column: Column, folds: int) -> Column:
 def spread(df: DataFrame, rows_per_task: int) -> DataFrame:
     """Deals the rows of a stored frame evenly to as many tasks as their number asks for."""
     return df.repartition(max(1, -(-df.count() // rows_per_task)))
+
+
+def settle_few(df: DataFrame, tasks: int) -> DataFrame:
+    """Settles a table that is small beside the shuffle partitions it comes from, in so many files."""
+    return settle(df.coalesce(tasks))
+
+
+def tasks_for(rows: int, rows_per_task: int, least: int = 8) -> int:
+    return max(least, -(-rows // rows_per_task))

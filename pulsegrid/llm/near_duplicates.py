@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.components import components
-from pulsegrid.llm.frames import only
+from pulsegrid.llm.frames import only, settle_few, tasks_for
 from pulsegrid.llm.words import WINDOW, WordReader, Words, mix, text_blocks
 from pulsegrid.sources.settle import settle
 
@@ -52,6 +52,7 @@ PERCENT = 85
 MARGIN = 5.0
 BITMAP_BITS = 1 << 23
 STRAYS, OTHERS = 256, 1024  # rows of a block
+DOCS_PER_TASK = 20_000  # documents whose keys and labels one task writes
 
 MEMBERS = "doc_id long, n int, sum1 long, sum2 long, keys array<long>"
 SETS = "cls long, n int, rounds array<int>, registers binary, high binary, low binary"
@@ -334,12 +335,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     members = settle(sketches(docs))
     same = ("sum1", "sum2", "n")
     classes = members.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("cls"))
-    classes = settle(classes)
+    tasks = tasks_for(members.count(), DOCS_PER_TASK)
+    classes = settle_few(classes, tasks)
     heads = members.join(classes.select("cls").where("cls is not null").withColumnRenamed("cls", "doc_id"), "doc_id", "left_semi")
-    keys = settle(heads.select(F.col("doc_id").alias("cls"), F.explode("keys").alias("key")).distinct())
+    keys = settle_few(heads.select(F.col("doc_id").alias("cls"), F.explode("keys").alias("key")), tasks)
     shared = keys.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.count("*").alias("size"))
-    live = settle(keys.join(shared.where("low < high").select("key", "size"), "key"))
-    labels = settle(_labels(docs, live, percent))
+    live = settle_few(keys.join(shared.where("low < high").select("key", "size"), "key"), tasks)
+    labels = settle_few(_labels(docs, live, percent, tasks), tasks)
     named = members.join(classes, list(same), "left").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     component = F.when(F.col("n") > 0, F.coalesce("label", "cls")).otherwise(F.col("doc_id"))
     return named.select(
@@ -350,20 +352,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def _labels(docs: DataFrame, live: DataFrame, percent: int) -> DataFrame:
+def _labels(docs: DataFrame, live: DataFrame, percent: int, tasks: int) -> DataFrame:
     """node and label of the classes that have a link."""
     sets = settle(full_sets(docs, live))
     weight = live.groupBy("cls").agg(F.sum("size").alias("weight"))
     centres = live.join(weight, "cls").groupBy("key").agg(F.max(F.struct("weight", (-F.col("cls")).alias("minus"))).alias("top"))
-    centres = settle(centres.select("key", (-F.col("top.minus")).alias("head")))
+    centres = settle_few(centres.select("key", (-F.col("top.minus")).alias("head")), tasks)
     stars = live.join(centres, "key").where("cls <> head")
     pairs = stars.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).distinct()
-    found = components(confirmed(pairs, sets, percent))
-    found = settle(found)
+    found = settle_few(components(confirmed(pairs, sets, percent)), tasks)
     name = lambda c: F.coalesce("label", c)
     centre = centres.join(found, centres["head"] == found["node"], "left").select("key", name("head").alias("centre"))
     labelled = live.join(found, live["cls"] == found["node"], "left").select("key", "cls", name("cls").alias("label"))
-    missed = settle(stray_links(settle(labelled.join(centre, "key")), sets, percent))
+    missed = settle(stray_links(settle_few(labelled.join(centre, "key"), tasks), sets, percent))
     if missed.isEmpty():
         return found
     return components(found.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(missed))

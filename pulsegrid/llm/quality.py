@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pulsegrid.llm.frames import settle_few, tasks_for
 from pulsegrid.llm.words import NOT_WHITE, WINDOW, WordReader, text_blocks
 from pulsegrid.sources.settle import settle
 from pulsegrid.sources.tables import require_columns
@@ -61,6 +62,8 @@ class Settings:
     least_rows: int = 60
     cutoff: float = 45.0
     word_bound: int = 400
+    #: Documents for which one task writes the tables of groups.
+    docs_per_task: int = 100_000
     #: Spreads that a group's own may not fall below, one for each part of the vector.
     floors: tuple[float, ...] = (0.4, 1.5, 0.25, 0.1, 0.05)
 
@@ -143,14 +146,14 @@ def with_base_rules(stats: DataFrame, s: Settings = Settings()) -> DataFrame:
     return stats.withColumn("base_failed", failed)
 
 
-def _groups(rows: DataFrame, s: Settings) -> DataFrame:
+def _groups(rows: DataFrame, s: Settings, tasks: int) -> DataFrame:
     """lang, source and ``grp``: their own name, or what small ones are pooled into; null where all is small."""
     sizes = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
     own = F.col("n") >= s.least_rows
     in_lang = F.sum(F.when(own, 0).otherwise(F.col("n"))).over(Window.partitionBy("lang"))
     sizes = sizes.withColumns({"own": own, "pool": in_lang})
     level = F.when(F.col("own"), 2).when(F.col("pool") >= s.least_rows, 1).otherwise(0)
-    sizes = settle(sizes.select("lang", "source", "n", level.alias("level")))
+    sizes = settle_few(sizes.select("lang", "source", "n", level.alias("level")), tasks)
     rest = sizes.where("level = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     name = (
         F.when(F.col("level") == 2, F.to_json(F.struct("lang", "source")))
@@ -269,17 +272,17 @@ def _inner(rows: DataFrame, estimates: DataFrame, p: int, share: float) -> DataF
     return inside.groupBy("grp", "start").agg(*[F.sum(c).alias(c) for c in names])
 
 
-def _starts(rows: DataFrame, p: int, s: Settings) -> DataFrame:
+def _starts(rows: DataFrame, p: int, s: Settings, tasks: int) -> DataFrame:
     """Two estimates for each group: quartile spreads without and with the correlation of bounded scores."""
     quartiles = rows.groupBy("grp").agg(
         *[F.percentile_approx(f"x{k}", [0.25, 0.5, 0.75], 10_000).alias(f"q{k}") for k in range(p)]
     )
     middle = [F.col(f"q{k}")[1] for k in range(p)]
     spread = [F.greatest((F.col(f"q{k}")[2] - F.col(f"q{k}")[0]) / 1.349, F.lit(s.floors[k])) for k in range(p)]
-    scales = settle(quartiles.select("grp", F.array(*middle).alias("centre"), F.array(*spread).alias("scale")))
+    scales = settle_few(quartiles.select("grp", F.array(*middle).alias("centre"), F.array(*spread).alias("scale")), tasks)
     score = [F.tanh((F.col(f"x{k}") - F.col("centre")[k]) / F.col("scale")[k]) for k in range(p)]
     bounded = rows.join(scales, "grp").select("grp", *[score[k].alias(f"x{k}") for k in range(p)])
-    sums = bounded.groupBy("grp").agg(*_moments(p)).join(scales, "grp")
+    sums = bounded.groupBy("grp").agg(*_moments(p)).join(scales, "grp").coalesce(tasks)
     out = "grp string, start int, centre array<double>, inverse array<double>"
 
     def run(frames):
@@ -308,24 +311,27 @@ def robust_estimates(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
     """centre and inverse covariance of every group of a stored frame with grp and x0..x4."""
     p = len(s.floors)
     rows = rows.select("grp", *[f"x{k}" for k in range(p)])
-    estimates = settle(_starts(rows, p, s))
+    # The tables of groups are small: a few tasks, and not one for each shuffle partition.
+    tasks = tasks_for(rows.count(), s.docs_per_task, 4)
+    estimates = settle(_starts(rows, p, s, tasks))
     factor = consistency(s.share, p)
     for _ in range(s.steps):
-        estimates = settle(_estimates(_inner(rows, estimates, p, s.share), p, s, factor))
+        estimates = settle(_estimates(_inner(rows, estimates, p, s.share).coalesce(tasks), p, s, factor))
     best = estimates.groupBy("grp").agg(F.min_by(F.struct("centre", "inverse"), F.struct("logdet", "start")).alias("b"))
-    best = settle(best.select("grp", F.lit(0).alias("start"), "b.centre", "b.inverse"))
+    best = settle_few(best.select("grp", F.lit(0).alias("start"), "b.centre", "b.inverse"), tasks)
     near = rows.join(best, "grp").where(_distance(p) <= chi2_quantile(0.975, p))
-    sums = near.groupBy("grp", "start").agg(*_moments(p))
+    sums = near.groupBy("grp", "start").agg(*_moments(p)).coalesce(tasks)
     return _estimates(sums, p, s, consistency(0.975, p)).select("grp", "centre", "inverse")
 
 
 def _fitted(stats: DataFrame, s: Settings) -> DataFrame:
     """lang, source, usual, centre and inverse: all that a verdict needs, from stored statistics."""
     passed = stats.where("not base_failed")
-    groups = settle(_with_usual(passed, _groups(passed, s)))
+    tasks = tasks_for(stats.count(), s.docs_per_task, 4)
+    groups = settle_few(_with_usual(passed, _groups(passed, s, tasks)), tasks)
     rows = _by_group(passed, groups).where("grp is not null").withColumns(_vector(s))
     estimates = robust_estimates(settle(rows.select("grp", *_vector(s))), s)
-    return settle(groups.join(estimates, "grp", "left").drop("grp"))
+    return settle_few(groups.join(estimates, "grp", "left").drop("grp"), tasks)
 
 
 def _verdicts(stats: DataFrame, fitted: DataFrame, s: Settings) -> DataFrame:
