@@ -160,12 +160,15 @@ def _bit(column) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS)).cast("int")
 
 
+def _bitmap_words(ids: DataFrame, name: str) -> DataFrame:
+    """word and bits: BITMAP_BITS bits, set for the ids; at most BITMAP_BITS / 32 rows."""
+    bit = ids.select(_bit(F.col(name)).alias("bit")).distinct()
+    return bit.groupBy(F.shiftright("bit", 5).alias("word")).agg(F.sum(F.expr("shiftleft(1L, bit & 31)")).alias("bits"))
+
+
 def _bitmap(ids: DataFrame) -> np.ndarray:
-    """BITMAP_BITS bits, set for the column cls."""
-    bit = ids.select(_bit(F.col("cls")).alias("bit")).distinct()
-    words = bit.groupBy(F.shiftright("bit", 5).alias("word")).agg(F.sum(F.expr("shiftleft(1L, bit & 31)")).alias("bits"))
     out = np.zeros(BITMAP_BITS // 32, np.uint32)
-    for word, bits in words.collect():  # at most BITMAP_BITS / 32 rows
+    for word, bits in _bitmap_words(ids, "cls").collect():
         out[word] = bits
     return out
 
@@ -373,8 +376,23 @@ def _labels(docs: DataFrame, live: DataFrame, percent: int, tasks: int) -> DataF
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each component, with all columns; of rows with one doc_id, one stays."""
     found = settle(near_duplicates(docs, percent))
-    dropped = found.where("not kept and doc_id is not null").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    kept = _without(docs, found.where("not kept and doc_id is not null").select("doc_id").distinct())
     if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
     return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows whose doc_id is not among the dropped ones.
+
+    A bitmap of the dropped ids, bounded and so broadcast, tells most rows that stay; only the
+    others, the dropped ones and a few more, are shuffled to be compared with the ids themselves.
+    """
+    columns = docs.columns
+    words = F.broadcast(settle(_bitmap_words(dropped, "doc_id")).withColumnRenamed("word", "__word"))
+    rows = docs.withColumn("__bit", _bit(F.col("doc_id")))
+    rows = rows.join(words.withColumnRenamed("bits", "__bits"), F.shiftright("__bit", 5) == F.col("__word"), "left")
+    listed = F.coalesce(F.expr("shiftright(__bits, __bit & 31) & 1L"), F.lit(0)) == 1
+    sure = rows.where(~listed | F.col("doc_id").isNull()).select(columns)
+    unsure = rows.where(listed & F.col("doc_id").isNotNull()).select(columns)
+    return sure.unionByName(unsure.join(dropped, "doc_id", "left_anti").select(columns))
