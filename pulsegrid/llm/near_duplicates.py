@@ -51,7 +51,7 @@ FILL = 8 * BUCKETS  # hashes that a sketch takes at least
 PERCENT = 85
 MARGIN = 5.0
 BITMAP_BITS = 1 << 23
-STRAYS, OTHERS = 256, 1024  # rows of a block
+STRAYS, OTHERS = 128, 512  # rows of a block
 DOCS_PER_TASK = 20_000  # documents whose keys and labels one task writes
 
 MEMBERS = "doc_id long, n int, sum1 long, sum2 long, keys array<long>"
