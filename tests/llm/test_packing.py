@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 import tokenizers
 
+from pulsegrid.llm import byte_tokens
 from pulsegrid.llm import packing as p
 from pulsegrid.llm.byte_tokens import ByteEncoder
 from pulsegrid.sources.settle import settle
@@ -27,6 +28,23 @@ def test_ids_are_those_of_the_library(library):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\u3000", " \n"])
+def test_long_white_space_runs_have_the_ids_of_the_library(library, blank):
+    run = blank * (2_000_000 // len(blank))
+    encoder = ByteEncoder(RANKS)
+    for text in (run, f"a{run}b", f"a {run}<|endoftext|>{run}\x1c{run[:150_000]}'re"):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_cut_runs_have_the_ids_of_the_library(library, monkeypatch):
+    monkeypatch.setattr(byte_tokens, "LONG_RUN", 3)
+    encoder = ByteEncoder(RANKS)
+    rng = random.Random(6)
+    parts = ["the", " ", "   ", "\n", "\t", "é", "'re", "42", "!!", "日", "\u0085", "\x1c", "\u2028", "<|endoftext|>"]
+    for text in ["".join(rng.choices(parts, k=40)) for _ in range(400)]:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def best_fit_by_scan(lengths, size, most):
     bins, made, out = {}, 0, []
     for n in lengths:
