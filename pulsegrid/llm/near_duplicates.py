@@ -1,17 +1,17 @@
 """Near-duplicate components by HyperMinHash sketches.
 
 A document's set holds its distinct five-word shingles (with fewer words, the whole sequence as
-one). Documents with 100 * intersection >= 85 * union are linked.
+one). Documents with 100 * intersection >= ``percent`` * union are linked; it is 85 if not given.
 
 1. **Classes.** Documents with the same set (two 64-bit sums over its hashes, and its size) are
    one class, named by the least doc_id. All that follows is about classes.
 2. **Sketch.** Hashes fall into ``BUCKETS`` buckets; a bucket keeps its least value as the count
    of leading zeros and ten mantissa bits, 16 bits in all. Small sets are hashed in several
    rounds, so that a bucket sees eight values on average: sets of 1024 to 2047 shingles in two,
-   of 512 to 1023 in four, and so on. Sets near such a border have a sketch for both sides, so
-   two sets that could be linked share a number of rounds.
-3. **Bands.** ``BANDS`` bands of ``ROWS`` registers give keys. Classes that share a key are
-   candidates; at the threshold, a pair without a common key has a chance of about 1e-5.
+   of 512 to 1023 in four, and so on. Sets near such a border have a sketch for both sides (for
+   all sizes down to ``percent``), so two sets that could be linked share a number of rounds.
+3. **Bands.** Bands of registers give keys: 24 of six at 85, 38 of six at 80. Classes that share
+   a key are candidates; at the threshold, a pair without a common key has a chance of about 1e-5.
 4. **Stars.** In each bucket of a key the most central class (the one that sits in the largest
    buckets) is paired with all others: as many pairs as members. The collision-corrected
    estimate of the Jaccard index drops those ``MARGIN`` standard deviations below the
@@ -32,7 +32,9 @@ component is null. Other columns are left out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +48,7 @@ from pulsegrid.sources.settle import settle
 
 BUCKETS = 256
 MANTISSA = 10
-BANDS, ROWS = 24, 6
+ROWS, MISS = 6, 1.2e-5  # registers of a band at most; chance that a pair at the threshold shares no band
 FILL = 8 * BUCKETS  # hashes that a sketch takes at least
 PERCENT = 85
 MARGIN = 5.0
@@ -80,10 +82,21 @@ def shingle_sets(words: Words) -> list[np.ndarray]:
     return out
 
 
+@cache
+def bands_for(percent: int = PERCENT) -> tuple[int, int]:
+    """The number of bands and of registers in each: the longest bands whose number meets ``MISS``."""
+    for rows in range(ROWS, 0, -1):
+        equal = min(percent / 100, 1) ** rows
+        bands = math.ceil(math.log(MISS) / math.log1p(-equal)) if equal < 1 else 1
+        if bands * rows <= BUCKETS:
+            return bands, rows
+    raise ValueError(f"{BUCKETS} registers are too few for a threshold of {percent} percent")
+
+
 def rounds_for(n: int, percent: int = PERCENT) -> list[int]:
     """The numbers of rounds, as powers of two, for which a set of n shingles has a sketch."""
     power = lambda size: max(0, int(np.ceil(np.log2(FILL / size))))
-    return sorted({power(n), power(n * percent / 100)})
+    return list(range(power(n), power(n * percent / 100) + 1))
 
 
 def registers(hashes: np.ndarray, power: int) -> np.ndarray:
@@ -98,9 +111,10 @@ def registers(hashes: np.ndarray, power: int) -> np.ndarray:
     return np.where(least >> np.uint64(56) > 0, 0, coded).astype("<u2")
 
 
-def band_keys(sketch: np.ndarray, power: int) -> np.ndarray:
-    joined = np.arange(BANDS, dtype=np.uint64) * _ROUND + np.uint64(power + 1)
-    for column in sketch[: BANDS * ROWS].reshape(BANDS, ROWS).T:
+def band_keys(sketch: np.ndarray, power: int, percent: int = PERCENT) -> np.ndarray:
+    bands, rows = bands_for(percent)
+    joined = np.arange(bands, dtype=np.uint64) * _ROUND + np.uint64(power + 1)
+    for column in sketch[: bands * rows].reshape(bands, rows).T:
         joined = mix(joined + column.astype(np.uint64))
     return joined.view(np.int64)
 
@@ -129,7 +143,7 @@ def lowest_estimate(percent: int = PERCENT) -> float:
     return j - MARGIN * (j * (1 - j) / BUCKETS) ** 0.5
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``MEMBERS`` for every row: the set's size, two sums over it, and its band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +154,8 @@ def sketches(docs: DataFrame) -> DataFrame:
                 for hashes in shingle_sets(reader.read(texts)):
                     keys = np.zeros(0, np.int64)
                     if len(hashes):
-                        keys = np.concatenate([band_keys(registers(hashes, p), p) for p in rounds_for(len(hashes))])
+                        powers = rounds_for(len(hashes), percent)
+                        keys = np.concatenate([band_keys(registers(hashes, p), p, percent) for p in powers])
                     sums = np.array([hashes.sum(dtype=np.uint64), mix(hashes).sum(dtype=np.uint64)]).astype(np.uint64).view(np.int64)
                     rows.append((len(hashes), sums[0], sums[1], keys))
                 n, one, two, keys = zip(*rows, strict=True)
@@ -173,7 +188,7 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def full_sets(docs: DataFrame, ids: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``SETS`` for the documents among ids, and for a few more."""
     bitmap = _bitmap(ids)
     rows = only(docs, ("doc_id", "text"), "documents").where("doc_id is not null").withColumn("bit", _bit(F.col("doc_id")))
@@ -190,7 +205,7 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 ids = part.column("doc_id").slice(at, len(texts)).to_pylist()
                 for doc, hashes in zip(ids, shingle_sets(reader.read(texts)), strict=True):
                     if len(hashes):
-                        powers = rounds_for(len(hashes))
+                        powers = rounds_for(len(hashes), percent)
                         regs = b"".join(registers(hashes, p).tobytes() for p in powers)
                         high = (hashes >> np.uint64(32)).astype("<u4").tobytes()
                         low = (hashes >> np.uint64(24)).astype("u1").tobytes()
@@ -250,6 +265,7 @@ def _block_links(rows: list[dict], percent: int) -> list[tuple[int, int]]:
     if not strays or not others:
         return []
     key, lowest, found = rows[0]["key"], lowest_estimate(percent), []
+    width = bands_for(percent)[1]
     names, labels = np.array([r["cls"] for r in others]), np.array([r["label"] for r in others])
     sizes = np.array([r["n"] for r in others], float)
     sets: dict[int, np.ndarray] = {}
@@ -262,7 +278,7 @@ def _block_links(rows: list[dict], percent: int) -> list[tuple[int, int]]:
 
     for power in sorted(set.intersection(*[set(r["rounds"]) for r in rows])):
         first = _sketch(strays[0]["rounds"], strays[0]["registers"], power)
-        bands = np.flatnonzero(band_keys(first, power) == key)
+        bands = np.flatnonzero(band_keys(first, power, percent) == key)
         if not len(bands):
             continue
         band = int(bands[0])
@@ -273,7 +289,7 @@ def _block_links(rows: list[dict], percent: int) -> list[tuple[int, int]]:
             good &= 100 * np.minimum(sizes, row["n"]) >= percent * np.maximum(sizes, row["n"])
             at = np.flatnonzero(good)
             if band and len(at):  # of the bands that two share, the first one compares them
-                before = (y[at, : band * ROWS] == x[: band * ROWS]).reshape(len(at), band, ROWS).all(2).any(1)
+                before = (y[at, : band * width] == x[: band * width]).reshape(len(at), band, width).all(2).any(1)
                 at = at[~before]
             if not len(at):
                 continue
@@ -335,7 +351,7 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row."""
-    members = settle(sketches(docs))
+    members = settle(sketches(docs, percent))
     same = ("sum1", "sum2", "n")
     classes = members.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("cls"))
     tasks = tasks_for(members.count(), DOCS_PER_TASK)
@@ -357,7 +373,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def _labels(docs: DataFrame, live: DataFrame, percent: int, tasks: int) -> DataFrame:
     """node and label of the classes that have a link."""
-    sets = settle(full_sets(docs, live))
+    sets = settle(full_sets(docs, live, percent))
     weight = live.groupBy("cls").agg(F.sum("size").alias("weight"))
     centres = live.join(weight, "cls").groupBy("key").agg(F.max(F.struct("weight", (-F.col("cls")).alias("minus"))).alias("top"))
     centres = settle_few(centres.select("key", (-F.col("top.minus")).alias("head")), tasks)

@@ -137,6 +137,28 @@ def test_sets_that_may_be_linked_share_a_number_of_rounds():
         assert set(n.rounds_for(size)) & set(n.rounds_for(smaller))
 
 
+@pytest.mark.parametrize("percent", [100, 85, 80, 60, 45, 30])
+def test_bands_and_rounds_follow_the_threshold(percent):
+    bands, width = n.bands_for(percent)
+    assert bands * width <= n.BUCKETS and (1 - (percent / 100) ** width) ** bands <= 1.2e-5
+    assert n.bands_for() == (24, 6)
+    for size in range(1, 6000, 7):
+        for smaller in range(-(-size * percent // 100), size + 1, max(1, size // 5)):
+            assert set(n.rounds_for(size, percent)) & set(n.rounds_for(smaller, percent))
+
+
+def test_a_pair_across_a_border_of_rounds_is_linked_at_its_threshold(spark):
+    """1250 and 1010 shingles, Jaccard index 0.808: at 85 such sets would share no number of rounds."""
+    rng = random.Random(4)
+    base = words(rng, 1254)
+    other = words(rng, 1204)
+    rows = [(1, " ".join(base)), (2, " ".join(base[:1014])), (3, " ".join(other)), (4, " ".join(other[:950]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in n.near_duplicates(docs, 80).collect()}
+    assert found == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert {r.component_id for r in n.near_duplicates(docs).collect()} == {1, 2, 3, 4}
+
+
 def test_linked_is_exact_at_the_threshold():
     a = np.arange(100, dtype=np.uint64)
     assert n.linked(a, a[:85]) and not n.linked(a, a[:84])
