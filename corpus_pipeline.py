@@ -13,6 +13,9 @@ from pulsegrid.llm import decontamination, near_duplicates, packing, quality, to
 from pulsegrid.llm.frames import table
 from pulsegrid.sources.settle import settle
 
+#: Of the pipeline alone; the query of the same operator has its own.
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents whose score reaches their language's threshold."""
@@ -25,8 +28,8 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves one document of each near-duplicate component, the one with the least doc_id."""
-    return near_duplicates.keep_one(docs)
+    """Leaves one document of each component of texts with a Jaccard index of 0.8 or more, the one with the least doc_id."""
+    return near_duplicates.keep_one(docs, NEAR_PERCENT)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

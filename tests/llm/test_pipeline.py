@@ -58,5 +58,15 @@ def test_stages_keep_the_columns(spark, tmp_path):
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
 
 
+def test_the_stage_takes_copies_from_a_jaccard_index_of_80_percent_on(spark, tmp_path):
+    rng, rows = random.Random(11), []
+    for first, shingles, kept in ((1, 100, 80), (11, 100, 82), (21, 100, 79), (31, 1250, 1000), (41, 1250, 1025), (51, 1200, 948)):
+        words = prose(rng, shingles + 4).split()
+        rows += [(first, " ".join(words)), (first + 1, " ".join(words[: kept + 4]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stays = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()}
+    assert stays == {1, 11, 21, 22, 31, 41, 51, 52}
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
