@@ -259,13 +259,30 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return pairs.join(side("a"), "a").join(side("b"), "b").where(near).mapInArrow(run, "a long, b long")
 
 
+def _holders(rows: list[dict], percent: int) -> Iterator[tuple[int, int, list[dict]]]:
+    """Powers and bands that give the block's key, each with the rows whose sketch has it there.
+
+    A doc_id with several texts also brings sets without the key, and now and then sketches of two
+    powers give one key.
+    """
+    key = rows[0]["key"]
+    for power in sorted({p for r in rows for p in r["rounds"]}):
+        having = [r for r in rows if power in r["rounds"]]
+        hits = np.stack([band_keys(_sketch(r["rounds"], r["registers"], power), power, percent) for r in having]) == key
+        for band in np.flatnonzero(hits.any(0)):
+            yield power, int(band), [having[i] for i in np.flatnonzero(hits[:, band])]
+
+
 def _block_links(rows: list[dict], percent: int) -> list[tuple[int, int]]:
     """Links between the strays of a block and others; all of them share the bucket ``key``."""
+    return [link for place in _holders(rows, percent) for link in _place_links(*place, percent)]
+
+
+def _place_links(power: int, band: int, rows: list[dict], percent: int) -> list[tuple[int, int]]:
     strays, others = [r for r in rows if r["stray"]], [r for r in rows if not r["stray"]]
     if not strays or not others:
         return []
-    key, lowest, found = rows[0]["key"], lowest_estimate(percent), []
-    width = bands_for(percent)[1]
+    lowest, width, found = lowest_estimate(percent), bands_for(percent)[1], []
     names, labels = np.array([r["cls"] for r in others]), np.array([r["label"] for r in others])
     sizes = np.array([r["n"] for r in others], float)
     sets: dict[int, np.ndarray] = {}
@@ -276,38 +293,32 @@ def _block_links(rows: list[dict], percent: int) -> list[tuple[int, int]]:
             v = root[v]
         return v
 
-    for power in sorted(set.intersection(*[set(r["rounds"]) for r in rows])):
-        first = _sketch(strays[0]["rounds"], strays[0]["registers"], power)
-        bands = np.flatnonzero(band_keys(first, power, percent) == key)
-        if not len(bands):
+    y = np.stack([_sketch(r["rounds"], r["registers"], power) for r in others])
+    for row in strays:
+        x = _sketch(row["rounds"], row["registers"], power)
+        good = (labels != row["label"]) & (names != row["cls"])
+        good &= 100 * np.minimum(sizes, row["n"]) >= percent * np.maximum(sizes, row["n"])
+        at = np.flatnonzero(good)
+        if band and len(at):  # of the bands that two share, the first one compares them
+            before = (y[at, : band * width] == x[: band * width]).reshape(len(at), band, width).all(2).any(1)
+            at = at[~before]
+        if not len(at):
             continue
-        band = int(bands[0])
-        y = np.stack([_sketch(r["rounds"], r["registers"], power) for r in others])
-        for row in strays:
-            x = _sketch(row["rounds"], row["registers"], power)
-            good = (labels != row["label"]) & (names != row["cls"])
-            good &= 100 * np.minimum(sizes, row["n"]) >= percent * np.maximum(sizes, row["n"])
-            at = np.flatnonzero(good)
-            if band and len(at):  # of the bands that two share, the first one compares them
-                before = (y[at, : band * width] == x[: band * width]).reshape(len(at), band, width).all(2).any(1)
-                at = at[~before]
-            if not len(at):
+        same = ((y[at] == x) & (y[at] > 0)).sum(1)
+        used = ((y[at] > 0) | (x > 0)).sum(1)
+        near = estimate(same, used, row["n"], sizes[at], power) >= lowest
+        own = None
+        for j in at[near][np.argsort(-same[near], kind="stable")]:
+            one, two = top(row["label"]), top(int(labels[j]))
+            if one == two:
                 continue
-            same = ((y[at] == x) & (y[at] > 0)).sum(1)
-            used = ((y[at] > 0) | (x > 0)).sum(1)
-            near = estimate(same, used, row["n"], sizes[at], power) >= lowest
-            own = None
-            for j in at[near][np.argsort(-same[near], kind="stable")]:
-                one, two = top(row["label"]), top(int(labels[j]))
-                if one == two:
-                    continue
-                if own is None:
-                    own = _set(row["high"], row["low"])
-                if j not in sets:
-                    sets[j] = _set(others[j]["high"], others[j]["low"])
-                if linked(own, sets[j], percent):
-                    found.append((row["cls"], int(names[j])))
-                    root[max(one, two)] = min(one, two)
+            if own is None:
+                own = _set(row["high"], row["low"])
+            if j not in sets:
+                sets[j] = _set(others[j]["high"], others[j]["low"])
+            if linked(own, sets[j], percent):
+                found.append((row["cls"], int(names[j])))
+                root[max(one, two)] = min(one, two)
     return found
 
 

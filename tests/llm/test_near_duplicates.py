@@ -46,6 +46,11 @@ def edited(rng, given, k):
     return out
 
 
+def hashes_of(texts):
+    found = n.shingle_sets(n.WordReader(lower=True).read([" ".join(t).encode() for t in texts.values()]))
+    return dict(zip(texts, found, strict=True))
+
+
 def corpus(seed):
     rng = random.Random(seed)
     rows = [words(rng, rng.randint(1, 300)) for _ in range(60)]
@@ -102,6 +107,42 @@ def test_strays_are_found_beside_the_stars(spark):
     assert {d: (r.n_shingles, r.component_id) for d, r in ((r.doc_id, r) for r in n.near_duplicates(docs).collect())} == want
 
 
+@pytest.mark.parametrize("foreign", [0, 1, 2, 3])
+def test_strays_are_found_beside_a_second_text_of_their_doc_id(spark, foreign):
+    rng = random.Random(21)
+    base = words(rng, 400)
+    texts = {7: base, 3: base + words(rng, 6), 5: base + words(rng, 9)}
+    keys = {d: set(n.band_keys(n.registers(h, 3), 3).tolist()) for d, h in hashes_of(texts).items()}
+    rows = [(d, " ".join(t)) for d, t in texts.items()]
+    second = {0: [], 1: [3], 2: [5, 7], 3: [3, 5, 7]}[foreign]
+    rows = [(d, " ".join(words(rng, 30))) for d in second] + rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = n.full_sets(docs, docs.selectExpr("doc_id as cls"))
+    labelled = spark.createDataFrame([(key, d, d, 99) for d in texts for key in keys[d]], "key long, cls long, label long, centre long")
+    links = {frozenset((r.a, r.b)) for r in n.stray_links(labelled, sets).collect()}
+    root = {d: d for d in texts}
+    for a, b in map(tuple, links):
+        root = {d: min(root[a], root[b]) if r in (root[a], root[b]) else r for d, r in root.items()}
+    assert set(root.values()) == {3}
+
+
+def test_sketches_of_two_powers_with_one_key_lose_no_link():
+    """The key adds the power to the first register, so one power more and one value less give the same key."""
+    rng = np.random.default_rng(3)
+    hashes = np.unique(rng.integers(0, 2**63, 400).astype(np.uint64))
+    sketch, bare = n.registers(hashes, 3), np.zeros(n.BUCKETS, "<u2")
+    bare[: n.ROWS] = sketch[: n.ROWS]
+    bare[0] -= 1
+    key = n.band_keys(sketch, 3)[0]
+    assert n.band_keys(bare, 4)[0] == key
+    parts = {"high": (hashes >> np.uint64(32)).astype("<u4").tobytes(), "low": (hashes >> np.uint64(24)).astype("u1").tobytes()}
+    row = lambda cls, stray, power, data: {
+        "key": key, "cls": cls, "label": cls, "stray": stray, "n": len(hashes), "rounds": [power], "registers": data.tobytes(), **parts,
+    }
+    rows = [row(1, False, 4, bare), row(2, False, 3, sketch), row(1, True, 4, bare), row(3, True, 3, sketch)]
+    assert [tuple(sorted(p)) for p in n._block_links(rows, 85)] == [(2, 3)]
+
+
 def test_repeated_rows_nulls_and_empty_tables(spark):
     text = "a b c d e f g h"
     rows = [(5, text), (5, text), (3, text), (None, text), (None, "else"), (8, None), (9, ""), (9, "")]
