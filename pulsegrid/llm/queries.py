@@ -14,6 +14,7 @@ from pulsegrid.llm import (
     near_duplicates,
     packing,
     quality,
+    simhash,
     token_counts,
     toxicity,
     training_order,
@@ -83,6 +84,10 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.join(read, "slot", "left")
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_quality": op2_quality,
@@ -94,6 +99,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_training_order": op10_training_order,
+    "op13_simhash": op13_simhash,
 }
 
 _CHAT_SQL = r"""

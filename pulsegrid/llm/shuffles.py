@@ -1,0 +1,24 @@
+"""Removing shuffle files as soon as their query has ended."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import SparkSession
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside remove their shuffle files at their end, not when the driver collects its garbage.
+
+    For jobs in passes, each of which shuffles about as much as its input and stores its result.
+    """
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
