@@ -6,10 +6,12 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulsegrid.llm import (
     chat,
     decontamination,
+    hard_negatives,
     html_text,
     near_duplicates,
     packing,
@@ -84,6 +86,13 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.join(read, "slot", "left")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every label of a vec_id that seven divides is moved on by one first; anchors are the ids that 100 divides."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.vectors(table(spark, sf_dir, "embeddings"), label)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -99,6 +108,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_training_order": op10_training_order,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_simhash": op13_simhash,
 }
 
@@ -146,8 +156,30 @@ select doc_id, cast(len(s) as bigint) as n_shingles, least(doc_id, coalesce(b, d
        doc_id = least(doc_id, coalesce(b, doc_id)) as kept
 from sets left join least_reached on a = doc_id"""
 
+_HARD_SQL = """
+with rows as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+), scored as (
+    select a.vec_id as anchor_id, r.vec_id, r.label = a.label as same, cast(list_inner_product(a.v, r.v) as bigint) as score
+    from rows a join rows r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id
+), positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+), negatives as (
+    select p.*, s.vec_id as negative_id, s.score as negative_score,
+           cast(row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) as integer) as rank
+    from positives p join scored s on s.anchor_id = p.anchor_id and not s.same
+     and 80 * p.positive_score <= 100 * s.score and 100 * s.score <= 100 * p.positive_score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negatives where rank <= 5"""
+
 #: SQL for the queries that SQL can express. The others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op4_chat": _CHAT_SQL,
     "op6_near_duplicates": _NEAR_SQL,
+    "op12_hard_negatives": _HARD_SQL,
 }
