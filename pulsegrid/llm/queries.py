@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm import (
     chat,
+    conversation_trie,
     decontamination,
     hard_negatives,
     html_text,
@@ -86,6 +87,17 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.join(read, "slot", "left")
 
 
+def trie_of(conversations: DataFrame, **settings) -> DataFrame:
+    """The trie of conversations that start with up to eight turns of the last one whose id five divides."""
+    borrowed = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(9))
+    given = settle(conversation_trie.turns(conversations))
+    return conversation_trie.trie(conversation_trie.rebuilt(given, 5, borrowed, 8), **settings)
+
+
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_of(table(spark, sf_dir, "conversations"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every label of a vec_id that seven divides is moved on by one first; anchors are the ids that 100 divides."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -108,6 +120,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_training_order": op10_training_order,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_simhash": op13_simhash,
 }
@@ -156,6 +169,48 @@ select doc_id, cast(len(s) as bigint) as n_shingles, least(doc_id, coalesce(b, d
        doc_id = least(doc_id, coalesce(b, doc_id)) as kept
 from sets left join least_reached on a = doc_id"""
 
+_TRIE_SQL = """
+with placed as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+           row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as place
+    from conversations where conv_id is not null
+), steps as (  -- crc32 bit by bit: a byte to be added, then eight shifts
+    select distinct conv_id,
+           flatten(list_transform(string_split(cast(conv_id as varchar), ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1])) as bits
+    from conversations where conv_id is not null
+), convs as (
+    select conv_id, conv_id - conv_id % 5 as base,
+           xor(list_reduce(list_transform(list_concat([4294967295], bits), lambda x: cast(x as bigint)),
+                           lambda crc, x: case when x >= 0 then xor(crc, x) when crc % 2 = 1 then xor(crc // 2, 3988292384) else crc // 2 end),
+               4294967295) % 9 as h
+    from steps
+), rebuilt as (
+    select c.conv_id, 0 as part, place, role, text from convs c join placed p on p.conv_id = c.base and p.place < c.h
+    union all select c.conv_id, 1, place, role, text from convs c join placed p on p.conv_id = c.conv_id and p.place >= c.h
+), sequences as (
+    select c.conv_id, coalesce(list((role, text) order by part, place) filter (place is not null), []) as s
+    from convs c left join rebuilt r on r.conv_id = c.conv_id group by c.conv_id
+), prefixes as (
+    select conv_id, len(s) as total, unnest(range(len(s) + 1)) as depth, s from sequences
+), nodes as (
+    select s[1:depth] as p, depth, min(conv_id) as conv_id, count(*) as n_convs,
+           sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (total = depth), '')) as ends_sha256
+    from prefixes group by 1, 2
+), parents as (
+    select p, p[1:depth - 1] as up from nodes where depth > 0
+), counted as (
+    select n.*, coalesce(c.n, 0) as n_children, case when depth = 0 then 0 else (n_convs - 1) * strlen(p[depth][2]) end as own
+    from nodes n left join (select up, count(*) as n from parents group by up) c on c.up = n.p
+), spread as (
+    select p, depth, own, n_children, unnest(range(depth + 1)) as k from counted
+), subtrees as (
+    select p[1:k] as top, sum(own) as saved, count(*) filter (n_children = 0) as leaves from spread group by 1
+)
+select n.conv_id, n.depth, u.conv_id as parent_conv_id, n.n_convs, n.n_children, t.leaves as n_leaves,
+       cast(t.saved as bigint) as saved_tokens, n.ends_sha256
+from counted n join subtrees t on t.top = n.p
+left join parents a on a.p = n.p and n.depth > 0 left join nodes u on u.p = a.up and u.depth = n.depth - 1"""
+
 _HARD_SQL = """
 with rows as (
     select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
@@ -181,5 +236,6 @@ select anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 ORACLE_SQL: dict[str, str] = {
     "op4_chat": _CHAT_SQL,
     "op6_near_duplicates": _NEAR_SQL,
+    "op11_conversation_trie": _TRIE_SQL,
     "op12_hard_negatives": _HARD_SQL,
 }
