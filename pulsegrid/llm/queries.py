@@ -24,6 +24,7 @@ from pulsegrid.llm import (
     url_filter,
 )
 from pulsegrid.llm.frames import table
+from pulsegrid.llm.settings import small_batches
 from pulsegrid.sources.settle import settle, shared_folder
 
 
@@ -83,7 +84,8 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     parts = training_order.materialise(table(spark, sf_dir, "documents"), ranks, path)
-    read = settle(training_order.read_records(spark, path).select("slot", "ids_crc32"))
+    with small_batches(spark):
+        read = settle(training_order.record_checksums(spark, path))
     return parts.join(read, "slot", "left")
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.components import components
 from pulsegrid.llm.frames import only, settle_few, tasks_for
-from pulsegrid.llm.shuffles import shuffles_removed
+from pulsegrid.llm.settings import shuffles_removed
 from pulsegrid.sources.settle import settle
 
 WORDS = 4

@@ -1,18 +1,21 @@
 """Token sequences in training order: fixed-stride binary shards under a keyed permutation.
 
 1. Every task joins its documents' ids, each closed by the closing id, and cuts the stream into
-   sequences of ``size`` ids; the last one of a task is padded. They are stored in the shared
-   folder, so that what follows reads the same rows however often a task is repeated.
+   sequences of ``size`` ids; the last one of a task is padded. They are compressed one by one and stored
+   beside the shards, so that what follows reads the same rows however often a task is repeated.
 2. A sequence's index is its row in its file plus the rows of all files before: dense from 0.
 3. ``Permutation`` sends the index to its slot: a Feistel network over the next power of four,
    walked on until it falls below the number of sequences. It is a bijection, needs no state,
    and can be run backwards.
-4. Slot s goes to shard s // per_shard. One task writes one shard, sorted by slot.
+4. Slot s goes to shard s // per_shard. A task takes a range of slots, ``SHARDS_PER_TASK`` shards, sorts its
+   rows by slot and writes one shard after another. The shards are written in ``PASSES`` passes, each
+   of which shuffles its part of the compressed sequences, so that the disk never holds all twice.
 
 A record has one fixed length: ``size`` ids as little-endian unsigned 16-bit numbers and a
 newline, so record r of a shard starts at byte r * stride. Spark's text sink writes the bytes as
-they are, commits whole files only, and knows every store that Spark knows. Writing goes on
-where it stopped: shards that have their full length are left alone.
+they are, commits whole files only, and knows every store that Spark knows. With ``resume``, a job
+goes on where another one died: finished sequences are read again, and shards that have their full
+length are left alone. Tasks open and check sequences some hundred at a time.
 
 Null and empty texts give the closing id alone. Rows with the same doc_id are written each;
 other columns are left out. An empty table gives no shard.
@@ -20,7 +23,6 @@ other columns are left out. An empty table gives no shard.
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -32,8 +34,9 @@ from pyspark.sql.window import Window
 
 from pulsegrid.llm.byte_tokens import ByteEncoder
 from pulsegrid.llm.frames import only
+from pulsegrid.llm.settings import held, shuffles_removed, small_batches
 from pulsegrid.llm.words import mix
-from pulsegrid.sources.settle import settle, shared_folder
+from pulsegrid.sources.settle import settle
 
 SIZE = 2048
 PER_SHARD = 2048
@@ -41,7 +44,10 @@ CLOSING_ID = 0
 KEY = 20_240_607
 #: Rows of the table of files that may be broadcast; it has about 100 bytes a row.
 MOST_FILES = 100_000
-SEQUENCES = "ids binary, n_ids int, parts array<struct<doc_id: long, start: long, offset: int, length: int>>"
+#: Shards that one task writes, passes in which all are written, sequences that a task opens at once.
+SHARDS_PER_TASK, PASSES, AT_ONCE = 8, 4, 256
+OPEN_SHARDS = "spark.sql.maxConcurrentOutputFileWriters"
+SEQUENCES = "packed binary, n_ids int, parts array<struct<doc_id: long, start: long, offset: int, length: int>>"
 
 
 class Permutation:
@@ -82,9 +88,12 @@ class Permutation:
 
 
 def sequences(docs: DataFrame, ranks_path: str, size: int = SIZE, closing_id: int = CLOSING_ID) -> DataFrame:
-    """The sequences as ``SEQUENCES``: 16-bit ids, how many are no padding, and the documents' parts."""
+    """The sequences as ``SEQUENCES``: compressed 16-bit ids, how many are no padding, and the documents' parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        packer = zstandard.ZstdCompressor(level=3)
         encoder, closing = ByteEncoder(ranks_path, 2), closing_id.to_bytes(2, "little")
         made, parts, held, held_ids = [], [], bytearray(), 0
 
@@ -96,7 +105,7 @@ def sequences(docs: DataFrame, ranks_path: str, size: int = SIZE, closing_id: in
             )
             arrays = [pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.int32(), parts_type), strict=True)]
             made = []
-            return pa.RecordBatch.from_arrays(arrays, ["ids", "n_ids", "parts"])
+            return pa.RecordBatch.from_arrays(arrays, ["packed", "n_ids", "parts"])
 
         for batch in batches:
             for at in range(batch.num_rows):
@@ -109,22 +118,24 @@ def sequences(docs: DataFrame, ranks_path: str, size: int = SIZE, closing_id: in
                     parts.append({"doc_id": doc, "start": start, "offset": held_ids, "length": length})
                     held_ids, start = held_ids + length, start + length
                     if held_ids == size:
-                        made.append((bytes(held), size, parts))
+                        made.append((packer.compress(bytes(held)), size, parts))
                         parts, held, held_ids = [], bytearray(), 0
-                        if len(made) == 1024:
+                        if len(made) == AT_ONCE:
                             yield flush()
         if held_ids:
-            made.append((bytes(held) + closing * (size - held_ids), held_ids, parts))
+            made.append((packer.compress(bytes(held) + closing * (size - held_ids)), held_ids, parts))
         yield flush()
 
     return only(docs, ("doc_id", "text"), "documents").mapInArrow(run, SEQUENCES)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Like settle, but compressed harder: the ids are the bulk of what this operator keeps."""
-    path = f"{shared_folder(df.sparkSession)}/sequences-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, path: str, resume: bool = False) -> DataFrame:
+    """The frame as a table at the path; with ``resume``, one that was finished there before is taken."""
+    spark = df.sparkSession
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not (resume and done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def indexed(table: DataFrame) -> tuple[DataFrame, int]:
@@ -164,65 +175,88 @@ def shard_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(shard.alias("shard"), F.col("length").alias("n_bytes"), "content")
 
 
-def write_shards(rows: DataFrame, total: int, path: str, size: int = SIZE, per_shard: int = PER_SHARD, resume: bool = False) -> None:
-    """Writes the shards of rows with ids, slot and shard. With ``resume``, only those that lack."""
+def write_shards(
+    rows: DataFrame, total: int, path: str, size: int = SIZE, per_shard: int = PER_SHARD, resume: bool = False, passes: int = PASSES
+) -> None:
+    """Writes the shards of rows with packed, slot and shard. With ``resume``, only those that lack."""
+    spark = rows.sparkSession
     n_shards = max(1, -(-total // per_shard))
-    rows = rows.select("ids", "slot", "shard")
+    rows = rows.select("packed", "slot", "shard")
     if resume:
         expected = F.when(F.col("shard") == n_shards - 1, total - (n_shards - 1) * per_shard).otherwise(per_shard)
-        done = shard_files(rows.sparkSession, path).where(F.col("n_bytes") == expected * stride(size)).select("shard")
-        rows = rows.join(done, "shard", "left_anti").select("ids", "slot", "shard")
-
-    def smaller(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        packer = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            ids = pa.array([packer.compress(x.as_buffer()) for x in batch.column("ids")], pa.binary())
-            yield pa.RecordBatch.from_arrays([ids, *batch.columns[1:]], batch.schema.names)
+        done = shard_files(spark, path).where(F.col("n_bytes") == expected * stride(size)).select("shard")
+        rows = rows.join(done, "shard", "left_anti").select("packed", "slot", "shard")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         opener = zstandard.ZstdDecompressor()
         for batch in batches:
-            ids = pa.array([opener.decompress(x.as_buffer()) for x in batch.column("ids")], pa.binary())
-            yield pa.RecordBatch.from_arrays([ids, batch.column("shard")], ["record", "shard"])
-
-    dealt = rows.mapInArrow(smaller, rows.schema).repartitionById(n_shards, F.col("shard")).sortWithinPartitions("slot")
-    out = dealt.mapInArrow(records, "record binary, shard int").select(F.col("record").cast("string"), "shard")
-    out.write.mode("append").partitionBy("shard").option("lineSep", "\n").text(path)
+            for at in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(at, AT_ONCE)
+                ids = pa.array([opener.decompress(x.as_buffer()) for x in part.column("packed")], pa.binary())
+                yield pa.RecordBatch.from_arrays([ids, part.column("shard")], ["record", "shard"])
+
+    tasks = -(-n_shards // SHARDS_PER_TASK)
+    step = -(-tasks // passes) * SHARDS_PER_TASK
+    # A task's shards come one after another, so it may hold all of them open instead of sorting them once more.
+    with shuffles_removed(spark), small_batches(spark), held(spark, {OPEN_SHARDS: str(SHARDS_PER_TASK + 1)}):
+        for first in range(0, n_shards, step):
+            part = rows.where(F.col("shard").between(first, first + step - 1))
+            task = F.floor((F.col("shard") - first) / SHARDS_PER_TASK).cast("int")
+            dealt = part.repartitionById(min(tasks, step // SHARDS_PER_TASK), task).sortWithinPartitions("slot")
+            out = dealt.mapInArrow(records, "record binary, shard int").select(F.col("record").cast("string"), "shard")
+            out.write.mode("append").partitionBy("shard").option("lineSep", "\n").text(path)
+
+
+def _whole_records(batches: Iterator[pa.RecordBatch], step: int) -> Iterator[tuple[int, memoryview, int]]:
+    """(shard, content, its records' number) of all shards, one at a time."""
+    for batch in batches:
+        for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
+            data = memoryview(content.as_buffer())
+            if len(data) % step:
+                raise ValueError(f"shard {shard} holds {len(data)} bytes, no multiple of {step}")
+            yield shard, data, len(data) // step
 
 
 def read_records(spark: SparkSession, path: str, size: int = SIZE, per_shard: int = PER_SHARD, first_slot: int = 0) -> DataFrame:
-    """slot, ids and ids_crc32 of all records from a slot on, as a resumed reader meets them."""
+    """slot and ids of all records from a slot on, as a resumed reader meets them."""
     step = stride(size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
-                data = content.as_buffer().to_pybytes()
-                if len(data) % step:
-                    raise ValueError(f"shard {shard} holds {len(data)} bytes, no multiple of {step}")
-                skip = max(0, first_slot - shard * per_shard)
-                ids = [data[at : at + step - 1] for at in range(skip * step, len(data), step)]
-                slots = [shard * per_shard + skip + k for k in range(len(ids))]
-                columns = [pa.array(slots, pa.int64()), pa.array(ids, pa.binary()), pa.array(map(zlib.crc32, ids), pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["slot", "ids", "ids_crc32"])
+        for shard, data, n in _whole_records(batches, step):
+            for at in range(max(0, first_slot - shard * per_shard), n, AT_ONCE):
+                numbers = range(at, min(at + AT_ONCE, n))
+                ids = pa.array([bytes(data[k * step : (k + 1) * step - 1]) for k in numbers], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([shard * per_shard + k for k in numbers], pa.int64()), ids], ["slot", "ids"])
 
     files = shard_files(spark, path).where(F.col("shard") >= first_slot // per_shard).select("shard", "content")
-    return files.mapInArrow(run, "slot long, ids binary, ids_crc32 long")
+    return files.mapInArrow(run, "slot long, ids binary")
+
+
+def record_checksums(spark: SparkSession, path: str, size: int = SIZE, per_shard: int = PER_SHARD) -> DataFrame:
+    """slot and ids_crc32 of all records, as read back from their shards."""
+    step = stride(size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, data, n in _whole_records(batches, step):
+            sums = np.array([zlib.crc32(data[k * step : (k + 1) * step - 1]) for k in range(n)], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(shard * per_shard + np.arange(n)), pa.array(sums)], ["slot", "ids_crc32"])
+
+    files = shard_files(spark, path).select("shard", "content")
+    return files.mapInArrow(run, "slot long, ids_crc32 long")
 
 
 def materialise(
-    docs: DataFrame, ranks_path: str, path: str, size: int = SIZE, per_shard: int = PER_SHARD, key: int = KEY
+    docs: DataFrame, ranks_path: str, path: str, size: int = SIZE, per_shard: int = PER_SHARD, key: int = KEY, resume: bool = False
 ) -> DataFrame:
     """Writes the shards and returns a row for each document's part: where it is found.
 
     doc_id, start (in the document's ids), length, offset (in the sequence), slot, shard, position.
+    The sequences stay at the path with ``-sequences`` after it; a job that died goes on with ``resume``.
     """
-    rows, total = indexed(stored(sequences(docs, ranks_path, size)))
+    rows, total = indexed(stored(sequences(docs, ranks_path, size), f"{path}-sequences", resume))
     placed = with_slots(rows, total, key, per_shard)
-    write_shards(placed, total, path, size, per_shard)
+    write_shards(placed, total, path, size, per_shard, resume)
     part = placed.select(F.explode("parts").alias("p"), "slot", "shard", "position")
     return part.select("p.doc_id", "p.start", F.col("p.length").cast("long").alias("length"), "p.offset", "slot", "shard", "position")
