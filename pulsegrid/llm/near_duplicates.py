@@ -18,8 +18,8 @@ one). Documents with 100 * intersection >= ``percent`` * union are linked; it is
    threshold, full sets decide on the rest, and links give components.
 5. **Strays.** Where a bucket still holds several components, its members outside the central
    class's component are compared with all others of other components, in bounded blocks and
-   again by estimate and full set. A pair is looked at in its first common band only. Only
-   links leave a task. So no link between candidates is lost, and no group's pairs are listed.
+   again by estimate and full set, some dozens of full sets at a time. A pair is looked at in its
+   first common band only. Only links leave a task. So no link between candidates is lost, and no group's pairs are listed.
 
 Full sets are built for candidates alone. Which documents those are is passed to the reading
 tasks as a bitmap of one megabyte; a false hit costs a row that no pair asks for. Shingles are
@@ -34,7 +34,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +42,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.components import components
 from pulsegrid.llm.frames import only, settle_few, tasks_for
+from pulsegrid.llm.settings import small_batches
 from pulsegrid.llm.words import WINDOW, WordReader, Words, mix, text_blocks
 from pulsegrid.sources.settle import settle
 
@@ -54,6 +54,7 @@ PERCENT = 85
 MARGIN = 5.0
 BITMAP_BITS = 1 << 23
 STRAYS, OTHERS = 128, 512  # rows of a block
+AT_ONCE = 64  # rows with full sets that a task turns into Python objects
 DOCS_PER_TASK = 20_000  # documents whose keys and labels one task writes
 
 MEMBERS = "doc_id long, n int, sum1 long, sum2 long, keys array<long>"
@@ -82,7 +83,6 @@ def shingle_sets(words: Words) -> list[np.ndarray]:
     return out
 
 
-@cache
 def bands_for(percent: int = PERCENT) -> tuple[int, int]:
     """The number of bands and of registers in each: the longest bands whose number meets ``MISS``."""
     for rows in range(ROWS, 0, -1):
@@ -111,8 +111,9 @@ def registers(hashes: np.ndarray, power: int) -> np.ndarray:
     return np.where(least >> np.uint64(56) > 0, 0, coded).astype("<u2")
 
 
-def band_keys(sketch: np.ndarray, power: int, percent: int = PERCENT) -> np.ndarray:
-    bands, rows = bands_for(percent)
+def band_keys(sketch: np.ndarray, power: int, shape: tuple[int, int] = bands_for(PERCENT)) -> np.ndarray:
+    """The keys of a sketch's bands; shape is what ``bands_for`` gives."""
+    bands, rows = shape
     joined = np.arange(bands, dtype=np.uint64) * _ROUND + np.uint64(power + 1)
     for column in sketch[: bands * rows].reshape(bands, rows).T:
         joined = mix(joined + column.astype(np.uint64))
@@ -145,6 +146,7 @@ def lowest_estimate(percent: int = PERCENT) -> float:
 
 def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``MEMBERS`` for every row: the set's size, two sums over it, and its band keys."""
+    shape = bands_for(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = WordReader(lower=True)
@@ -155,7 +157,7 @@ def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                     keys = np.zeros(0, np.int64)
                     if len(hashes):
                         powers = rounds_for(len(hashes), percent)
-                        keys = np.concatenate([band_keys(registers(hashes, p), p, percent) for p in powers])
+                        keys = np.concatenate([band_keys(registers(hashes, p), p, shape) for p in powers])
                     sums = np.array([hashes.sum(dtype=np.uint64), mix(hashes).sum(dtype=np.uint64)]).astype(np.uint64).view(np.int64)
                     rows.append((len(hashes), sums[0], sums[1], keys))
                 n, one, two, keys = zip(*rows, strict=True)
@@ -235,6 +237,13 @@ def _sketch(rounds: list[int], data: bytes, power: int) -> np.ndarray:
     return np.frombuffer(data, "<u2")[at : at + BUCKETS]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows as Python objects, a few at a time: full sets are large."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(at, AT_ONCE).to_pylist()
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of classes that are linked."""
     names = [c for c in sets.columns if c != "cls"]
@@ -242,9 +251,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     lowest = lowest_estimate(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in _slices(batches):
             out = []
-            for r in batch.to_pylist():
+            for r in part:
                 for power in set(r["rounds_a"]) & set(r["rounds_b"]):
                     x = _sketch(r["rounds_a"], r["registers_a"], power)
                     y = _sketch(r["rounds_b"], r["registers_b"], power)
@@ -259,7 +268,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return pairs.join(side("a"), "a").join(side("b"), "b").where(near).mapInArrow(run, "a long, b long")
 
 
-def _holders(rows: list[dict], percent: int) -> Iterator[tuple[int, int, list[dict]]]:
+def _holders(rows: list[dict], shape: tuple[int, int]) -> Iterator[tuple[int, int, list[dict]]]:
     """Powers and bands that give the block's key, each with the rows whose sketch has it there.
 
     A doc_id with several texts also brings sets without the key, and now and then sketches of two
@@ -268,25 +277,28 @@ def _holders(rows: list[dict], percent: int) -> Iterator[tuple[int, int, list[di
     key = rows[0]["key"]
     for power in sorted({p for r in rows for p in r["rounds"]}):
         having = [r for r in rows if power in r["rounds"]]
-        hits = np.stack([band_keys(_sketch(r["rounds"], r["registers"], power), power, percent) for r in having]) == key
+        hits = np.stack([band_keys(_sketch(r["rounds"], r["registers"], power), power, shape) for r in having]) == key
         for band in np.flatnonzero(hits.any(0)):
             yield power, int(band), [having[i] for i in np.flatnonzero(hits[:, band])]
 
 
-def _block_links(rows: list[dict], percent: int) -> list[tuple[int, int]]:
-    """Links between the strays of a block and others; all of them share the bucket ``key``."""
-    return [link for place in _holders(rows, percent) for link in _place_links(*place, percent)]
+def _block_links(rows: list[dict], percent: int, root: dict[int, int] | None = None) -> list[tuple[int, int]]:
+    """Links between the strays of a block and others; all of them share the bucket ``key``.
+
+    root tells which labels the links so far have joined, and is kept up.
+    """
+    shape, root = bands_for(percent), {} if root is None else root
+    return [link for place in _holders(rows, shape) for link in _place_links(*place, percent, shape[1], root)]
 
 
-def _place_links(power: int, band: int, rows: list[dict], percent: int) -> list[tuple[int, int]]:
+def _place_links(power: int, band: int, rows: list[dict], percent: int, width: int, root: dict[int, int]) -> list[tuple[int, int]]:
     strays, others = [r for r in rows if r["stray"]], [r for r in rows if not r["stray"]]
     if not strays or not others:
         return []
-    lowest, width, found = lowest_estimate(percent), bands_for(percent)[1], []
+    lowest, found = lowest_estimate(percent), []
     names, labels = np.array([r["cls"] for r in others]), np.array([r["label"] for r in others])
     sizes = np.array([r["n"] for r in others], float)
     sets: dict[int, np.ndarray] = {}
-    root: dict[int, int] = {}
 
     def top(v: int) -> int:
         while v in root:
@@ -325,8 +337,8 @@ def _place_links(power: int, band: int, rows: list[dict], percent: int) -> list[
 def stray_links(labelled: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links that the stars may have missed: labelled has key, cls, label and centre (the centre's label).
 
-    The rows of a block, at most STRAYS + OTHERS, follow each other in a sorted partition, so a
-    task holds one block at a time.
+    The rows of a block, at most STRAYS + OTHERS, follow each other in a sorted partition, strays first. A
+    task holds the strays of one block and ``AT_ONCE`` of the others.
     """
     stray = F.col("label") != F.col("centre")
     sizes = labelled.groupBy("key").agg(F.count("*").alias("all"), F.sum(stray.cast("int")).alias("strays")).where("strays > 0")
@@ -338,19 +350,24 @@ def stray_links(labelled: DataFrame, sets: DataFrame, percent: int = PERCENT) ->
     rows = rows.withColumns({"s": mine(F.col("n_s")), "o": mine(F.col("n_o"))})
     as_other = rows.select("key", "cls", "label", F.explode(every(F.col("n_s"))).alias("s"), "o", F.lit(False).alias("stray"))
     as_stray = rows.where("is_stray").select("key", "cls", "label", "s", F.explode(every(F.col("n_o"))).alias("o"), F.lit(True).alias("stray"))
-    dealt = as_other.unionByName(as_stray).join(sets, "cls").repartition("key", "s", "o").sortWithinPartitions("key", "s", "o")
+    dealt = as_other.unionByName(as_stray).join(sets, "cls").repartition("key", "s", "o").sortWithinPartitions("key", "s", "o", F.desc("stray"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: list[dict] = []
-        for batch in batches:
+        block, strays, others = None, [], []
+        root: dict[int, int] = {}
+        for part in _slices(batches):
             out = []
-            for row in batch.to_pylist():
-                if block and any(row[c] != block[0][c] for c in ("key", "s", "o")):
-                    out += _block_links(block, percent)
-                    block = []
-                block.append(row)
+            for row in part:
+                name = (row["key"], row["s"], row["o"])
+                if name != block:
+                    out += _block_links(strays + others, percent, root) if others else []
+                    block, strays, others, root = name, [], [], {}
+                (strays if row["stray"] else others).append(row)
+                if len(others) == AT_ONCE:
+                    out += _block_links(strays + others, percent, root)
+                    others = []
             yield _pairs(out)
-        yield _pairs(_block_links(block, percent) if block else [])
+        yield _pairs(_block_links(strays + others, percent, root) if others else [])
 
     return dealt.mapInArrow(run, "a long, b long")
 
@@ -362,6 +379,11 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row."""
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, percent)
+
+
+def _near_duplicates(docs: DataFrame, percent: int) -> DataFrame:
     members = settle(sketches(docs, percent))
     same = ("sum1", "sum2", "n")
     classes = members.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("cls"))
@@ -401,25 +423,60 @@ def _labels(docs: DataFrame, live: DataFrame, percent: int, tasks: int) -> DataF
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each component, with all columns; of rows with one doc_id, one stays."""
-    found = settle(near_duplicates(docs, percent))
-    kept = _without(docs, found.where("not kept and doc_id is not null").select("doc_id").distinct())
-    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
-
+    """One row of each component, the one with the least doc_id, with all columns.
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows whose doc_id is not among the dropped ones.
-
-    A bitmap of the dropped ids, bounded and so broadcast, tells most rows that stay; only the
-    others, the dropped ones and a few more, are shuffled to be compared with the ids themselves.
+    Rows are told apart by doc_id and text, so an id with several texts loses only those that are
+    copies. A row with a null doc_id goes if it copies a row that has one; of such rows alone one stays.
+    Of rows equal in doc_id and text, one stays: the least by its other columns. Rows without words
+    have no copies but such.
+    """
+    name = lambda c: _fresh(docs, c)
+    many = settle(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if many.isEmpty() and docs.where("doc_id is null").isEmpty():
+        found = settle(near_duplicates(docs, percent))
+        return _without(docs, found.where("not kept").select("doc_id"), "doc_id")
+    # Rows of such ids (and a few more, which does no harm) get a node of their own, the others keep their id.
+    row, marked = name("row"), name("marked")
+    rows = _marked(docs, many, "doc_id", marked).withColumn(marked, F.col(marked) | F.col("doc_id").isNull())
+    rows = rows.withColumn(row, F.when(F.col(marked), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id")))
+    nodes = rows.select(F.col(row).alias("doc_id"), "text")
+    found = settle(near_duplicates(nodes, percent)).select(F.col("doc_id").alias("node"), "component_id").distinct()
+    ids = rows.select(F.col(row).alias("node"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("node")).alias("rank"))
+    ranked = settle(found.join(ids.distinct(), "node"))
+    first = ranked.groupBy("component_id").agg(F.min("rank").alias("first"))
+    goes = ranked.join(first, "component_id").where(F.col("node") != F.col("first.node"))
+    kept = _without(rows, goes.select(F.col("node").alias(row)), row)
+    sure = kept.where(~F.col(marked)).select(docs.columns)
+    least = kept.where(F.col(marked)).groupBy(row).agg(F.min(F.struct(*docs.columns)).alias("least"))
+    return sure.unionByName(least.select("least.*"))
+
+
+def _fresh(docs: DataFrame, name: str) -> str:
+    """The name, or a longer one that is no column of docs."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _marked(docs: DataFrame, ids: DataFrame, of: str, mark: str) -> DataFrame:
+    """Adds the column ``mark``: true for the listed ids and for a few more, by a bitmap, which is bounded and so broadcast."""
+    word, bits, bit = (_fresh(docs, c) for c in ("word", "bits", "bit"))
+    words = F.broadcast(settle(_bitmap_words(ids, of)).select(F.col("word").alias(word), F.col("bits").alias(bits)))
+    rows = docs.withColumn(bit, _bit(F.col(of))).join(words, F.shiftright(bit, 5) == F.col(word), "left")
+    listed = F.getbit(F.coalesce(bits, F.lit(0)), F.col(bit).bitwiseAND(31)) == 1
+    return rows.select(*docs.columns, listed.alias(mark))
+
+
+def _without(docs: DataFrame, dropped: DataFrame, of: str) -> DataFrame:
+    """The rows whose id is not among the dropped ones; rows with a null id stay.
+
+    Most rows that stay are told by a bitmap; only the others, the dropped ones and a few more, are
+    shuffled to be compared with the ids themselves.
     """
-    columns = docs.columns
-    words = F.broadcast(settle(_bitmap_words(dropped, "doc_id")).withColumnRenamed("word", "__word"))
-    rows = docs.withColumn("__bit", _bit(F.col("doc_id")))
-    rows = rows.join(words.withColumnRenamed("bits", "__bits"), F.shiftright("__bit", 5) == F.col("__word"), "left")
-    listed = F.coalesce(F.expr("shiftright(__bits, __bit & 31) & 1L"), F.lit(0)) == 1
-    sure = rows.where(~listed | F.col("doc_id").isNull()).select(columns)
-    unsure = rows.where(listed & F.col("doc_id").isNotNull()).select(columns)
-    return sure.unionByName(unsure.join(dropped, "doc_id", "left_anti").select(columns))
+    listed = _fresh(docs, "listed")
+    dropped = settle(dropped.where(F.col(of).isNotNull()).distinct())
+    rows = _marked(docs, dropped, of, listed)
+    sure = rows.where(~F.col(listed) | F.col(of).isNull()).select(docs.columns)
+    unsure = rows.where(F.col(listed) & F.col(of).isNotNull()).select(docs.columns)
+    return sure.unionByName(unsure.join(dropped, of, "left_anti").select(docs.columns))

@@ -83,6 +83,7 @@ def test_components_match_all_pairs(spark, seed):
 def test_small_blocks_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(n, "STRAYS", 7)
     monkeypatch.setattr(n, "OTHERS", 11)
+    monkeypatch.setattr(n, "AT_ONCE", 4)
     rows = corpus(3)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in n.near_duplicates(docs).collect()} == brute(rows)
@@ -155,7 +156,34 @@ def test_repeated_rows_nulls_and_empty_tables(spark):
     more = docs.selectExpr("*", "length(text) as n_chars")
     stays = n.keep_one(more)
     assert stays.columns == more.columns
-    assert sorted((r.doc_id or 0, r.text or "") for r in stays.collect()) == [(0, text), (0, "else"), (3, text), (8, ""), (9, "")]
+    assert sorted((r.doc_id or 0, r.text or "") for r in stays.collect()) == [(0, "else"), (3, text), (8, ""), (9, "")]
+
+
+def test_only_copies_go_where_an_id_has_several_texts(spark):
+    """Both ways: the unlike text is the first or the second row of its id; copies lie before and after it."""
+    rng = random.Random(17)
+    one, two, three, four = (" ".join(words(rng, 60)) for _ in range(4))
+    near = one + " more"
+    rows = [(1, one, 5), (3, three, 6), (3, near, 7), (2, two, 8), (2, four, 9), (6, four, 10), (4, two + " end", 11)]
+    rows += [(None, one, 12), (None, "null alone " + three[:90], 13), (None, "null alone " + three[:90], 14), (7, "", 15), (7, None, 16), (8, one, 17), (8, one, 18)]
+    want = {(1, one), (2, two), (2, four), (3, three), (None, "null alone " + three[:90]), (7, ""), (7, None)}
+    table = "doc_id long, text string, __bit long"
+    for order in (rows, rows[::-1], sorted(rows, key=lambda r: r[2] * 7 % 11)):
+        docs = spark.createDataFrame(order, table).selectExpr("*", "__bit as __bits", "__bit as __word", "__bit as bit", "'x' as row", "__bit as marked")
+        found = [(tuple(r)[:2], tuple(r)[2:]) for r in n.keep_one(docs, 80).collect()]
+        assert sorted(map(str, (key for key, _ in found))) == sorted(map(str, want))
+        numbers = {(d, x): k for d, x, k in rows[::-1]}
+        assert all(rest == (k := numbers[key], k, k, k, "x", k) for key, rest in found)
+
+
+def test_a_clashing_column_is_left_alone_where_ids_are_distinct(spark):
+    rows = [(k, f"the same words {k % 3} for all of these rows", 5) for k in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __bit long").selectExpr("*", "__bit as bits", "__bit as word", "__bit as listed")
+    assert sorted(tuple(r) for r in n.keep_one(docs).collect()) == [(*r, 5, 5, 5) for r in rows[:3]]
+
+
+def test_an_empty_table_keeps_nothing(spark):
+    assert n.keep_one(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
 @pytest.mark.parametrize("size", [7, 30, 300, 1100, 5000])
