@@ -124,6 +124,32 @@ def _csv_round_trip(i: _Inputs) -> DataFrame:
     return read_minutes(i.spark, path, "csv", ordered=False)
 
 
+#: The same for both engines: subjects with line ends, quotes and commas in them.
+ODD_SUBJECT = """case when src_order % 11 = 0 then subject_id || chr(10) || '"a", ' || time || chr(10) || chr(10)
+when src_order % 13 = 0 then subject_id || ',' when src_order % 17 = 0 then '"' || subject_id else subject_id end"""
+
+
+def _csv_odd_records(i: _Inputs) -> DataFrame:
+    """Rows that run over several lines, written in several files and deduplicated by their place there."""
+    path = f"{shared_folder(i.spark)}/csv-{uuid.uuid4().hex}"
+    rows = i.sparse.withColumn("subject_id", F.expr(ODD_SUBJECT))
+    parts = rows.repartitionByRange(4, "src_order").sortWithinPartitions("src_order")
+    write_table(parts.select(*MINUTE_COLUMNS), path, "csv")
+    return steps.remove_duplicates(read_minutes(i.spark, path, "csv")).minutes.drop(SRC_ORDER)
+
+
+def _csv_layouts(i: _Inputs) -> DataFrame:
+    """Files of two column orders, the earlier half of the rows in the first one, read as one table and deduplicated."""
+    path, rows = f"{shared_folder(i.spark)}/csv-{uuid.uuid4().hex}", i.sparse
+    half = rows.agg(F.max("src_order")).first()[0] // 2
+    for name, part, columns in (
+        ("a", rows.where(F.col("src_order") <= half), MINUTE_COLUMNS),
+        ("b", rows.where(F.col("src_order") > half), MINUTE_COLUMNS[::-1]),
+    ):
+        write_table(part.repartitionByRange(2, "src_order").sortWithinPartitions("src_order").select(*columns), f"{path}/{name}", "csv")
+    return steps.remove_duplicates(read_minutes(i.spark, f"{path}/*", "csv")).minutes.drop(SRC_ORDER)
+
+
 def _dedup_from_files(i: _Inputs) -> DataFrame:
     """The dedup of several written files, whose rows' order is known from their places alone."""
     path = f"{shared_folder(i.spark)}/csv-{uuid.uuid4().hex}"
@@ -150,7 +176,7 @@ def _hr_keys(i: _Inputs) -> DataFrame:
 
 
 def _outlier_summary(i: _Inputs) -> DataFrame:
-    counts = steps.remove_outliers(i.dense).summary
+    counts = steps.remove_outliers(i.dense, store=settle).summary
     return counts.withColumn("outlier_percent", percent(F.col("outliers_detected"), F.col("input_rows")))
 
 
@@ -162,6 +188,8 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     # Sources and row filters
     "parse_minutes": lambda i: parse_minutes(i.sparse),
     "csv_round_trip": _csv_round_trip,
+    "csv_odd_records": _csv_odd_records,
+    "csv_two_layouts": _csv_layouts,
     "timed_minutes": lambda i: minutes.timed_rows(i.sparse),
     "recorded_minutes": lambda i: minutes.recorded_rows(i.sparse, short=True),
     "worn_minutes": lambda i: minutes.worn_rows(i.sparse),

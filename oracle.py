@@ -40,6 +40,12 @@ def _sparse(normalize: bool = True) -> dict[str, str]:
     return {"raw": workload.sparse_sql(), "p": _parsed("raw", normalize)}
 
 
+def _odd_subjects() -> dict[str, str]:
+    from __spark_entry__ import ODD_SUBJECT
+
+    return {"raw": f"select * replace ({ODD_SUBJECT} as subject_id) from ({workload.sparse_sql()})", "p": _parsed("raw")}
+
+
 def _any_num(cell: str) -> str:
     """Like _num, for cells with blanks, signs and infinities."""
     return f"""case when regexp_matches({cell}, '{_NUMBER}') then try_cast(ltrim({cell}, '+') as double)
@@ -348,6 +354,12 @@ def statements() -> dict[str, str]:
             "coalesce(hr_num <> 0, false) as ok_hr_validminute from p",
         ),
         "csv_round_trip": _with(sparse, "select subject_id, date, time, hr from raw"),
+        "csv_odd_records": _with(
+            _odd_subjects() | {"d": _deduped()}, "select subject_id, date, time, hr, copies from d"
+        ),
+        "csv_two_layouts": _with(
+            sparse | {"d": _deduped()}, "select subject_id, date, time, hr, copies from d"
+        ),
         "timed_minutes": _with(untimed, f"select {columns} from p where {_TIMED}"),
         "recorded_minutes": _with(
             sparse, f"select {columns} from raw where src_order in (select src_order from p where {_RECORDED})"

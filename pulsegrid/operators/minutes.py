@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.config import DEDUP_KEY, MAX_HR, MIN_HR
@@ -13,6 +13,7 @@ from pulsegrid.functions.heart_rate import has_reading, is_outlier, is_worn, too
 from pulsegrid.sources.tables import SRC_ORDER, as_number, require_columns
 
 COPIES = "copies"
+UNRECORDED = "unrecorded"
 
 
 def timed_rows(minutes: DataFrame, short: bool = False) -> DataFrame:
@@ -51,6 +52,21 @@ def keep_one(
     return kept.select(*names, COPIES)
 
 
+def keep_one_marked(
+    minutes: DataFrame, key: Sequence[str] = DEDUP_KEY, keep: str = "last", short: bool = True
+) -> DataFrame:
+    """keep_one of the recorded rows, and in the same pass a marker row for each subject with other rows.
+
+    A marker has ``unrecorded`` set, its number of rows in ``copies`` and nothing else but the subject.
+    Each task folds a subject's other rows to one before the shuffle, so markers cost next to
+    nothing, and who is only ever seen without a reading needs no second scan.
+    """
+    recorded = is_day(F.col("date")) & is_time(F.col("time"), short) & has_reading(as_number(minutes, "hr"))
+    recorded = F.coalesce(recorded, F.lit(False))
+    cells = [F.col(c) if c == "subject_id" else F.when(recorded, F.col(c)).alias(c) for c in minutes.columns]
+    return keep_one(minutes.select(*cells, (~recorded).alias(UNRECORDED)), [*key, UNRECORDED], keep)
+
+
 def kept_by_day(deduped: DataFrame) -> DataFrame:
     """subject_id, day_index with the rows kept and removed, from the result of keep_one."""
     by_label = deduped.groupBy("subject_id", "date").agg(
@@ -105,10 +121,16 @@ def clean_outliers(
     return minutes.withColumn("hr", F.when(outside, zero).otherwise(F.col("hr")))
 
 
-def outlier_counts(minutes: DataFrame, min_hr: float = MIN_HR, max_hr: float = MAX_HR) -> DataFrame:
-    return with_outlier_flags(minutes, min_hr, max_hr).agg(
+def outlier_totals(minutes: DataFrame, min_hr: float = MIN_HR, max_hr: float = MAX_HR) -> list[Column]:
+    """The four counts as aggregates over the minutes."""
+    hr = as_number(minutes, "hr")
+    return [
         F.count(F.lit(1)).alias("input_rows"),
-        F.count_if("is_outlier").alias("outliers_detected"),
-        F.count_if("is_too_low").alias("outliers_too_low"),
-        F.count_if("is_too_high").alias("outliers_too_high"),
-    )
+        F.count_if(is_outlier(hr, min_hr, max_hr)).alias("outliers_detected"),
+        F.count_if(too_low(hr, min_hr)).alias("outliers_too_low"),
+        F.count_if(too_high(hr, max_hr)).alias("outliers_too_high"),
+    ]
+
+
+def outlier_counts(minutes: DataFrame, min_hr: float = MIN_HR, max_hr: float = MAX_HR) -> DataFrame:
+    return minutes.agg(*outlier_totals(minutes, min_hr, max_hr))

@@ -1,8 +1,8 @@
 """The combined job: raw minutes and daily sources in, all result tables out.
 
-The raw minutes are read once, for the dedup, and for the first line of the flow their subjects
-once more. One pass over the deduplicated table yields the daily facts, and every later table
-is made from those.
+The raw minutes are read once, for the dedup; rows without a reading leave a marker for each subject
+there. One pass over the deduplicated table yields the daily facts, and every later table is made
+from those.
 """
 
 from __future__ import annotations
@@ -64,9 +64,9 @@ def run(sources: Sources, cfg: Cohort = Cohort(), store: Store = _settle) -> dic
     raw = require_columns(sources.minutes, [*MINUTE_COLUMNS, SRC_ORDER], "minute table")
     if not {"subject_id", "date"} <= set(cfg.duplicates.key):
         raise ValueError(f"the combined job needs subject_id and date in the dedup key, as in {DEDUP_KEY}")
-    recorded = with_full_time(minutes.recorded_rows(raw, short=True))
-    kept = minutes.keep_one(recorded, cfg.duplicates.key, cfg.duplicates.keep)
-    deduped = store("hr_1min_deduped", clustered(kept))
+    kept = minutes.keep_one_marked(with_full_time(raw), cfg.duplicates.key, cfg.duplicates.keep)
+    marked = store("hr_1min_deduped", clustered(kept))
+    deduped = marked.where(~F.col(minutes.UNRECORDED)).drop(minutes.UNRECORDED)
     by_day = store(
         "day_facts", facts.day_facts(deduped, copies=minutes.COPIES, outliers=cfg.outliers)
     )
@@ -129,20 +129,21 @@ def run(sources: Sources, cfg: Cohort = Cohort(), store: Store = _settle) -> dic
         "daily_compliance": compliance,
         "compliance_summary": spread.compliance_totals(values, cfg.compliance.threshold_ratio),
         "compliance_histogram": spread.histogram(values, cfg.compliance.bins),
-        "cohort_flow": _flow(raw, by_day, daily, daily_pass, with_hr, merged),
+        "cohort_flow": _flow(marked, by_day, daily, daily_pass, with_hr, merged),
     }
 
 
 def _flow(
-    raw: DataFrame, by_day: DataFrame, daily: DataFrame, daily_pass: DataFrame, with_hr: DataFrame, merged: DataFrame
+    marked: DataFrame, by_day: DataFrame, daily: DataFrame, daily_pass: DataFrame, with_hr: DataFrame, merged: DataFrame
 ) -> DataFrame:
     """stage, rows, subjects: what each stage is left with, minutes first, then days.
 
-    Of the raw minutes this reads the subjects alone, one column of a columnar table.
+    The raw minutes are the recorded ones, by day, and those that the markers stand for.
     """
     one = F.lit(1)
+    others = marked.where(minutes.UNRECORDED).select("subject_id", F.col(minutes.COPIES).alias("recorded_minutes"))
     stages = [
-        ("raw minutes", raw.select("subject_id"), one),
+        ("raw minutes", by_day.select("subject_id", "recorded_minutes").unionByName(others), F.col("recorded_minutes")),
         ("recorded minutes", by_day.where("recorded_minutes > 0"), F.col("recorded_minutes")),
         ("deduplicated minutes", by_day.where("kept_rows > 0"), F.col("kept_rows")),
         ("timed minutes", by_day.where("timed_rows > 0"), F.col("timed_rows")),

@@ -31,6 +31,7 @@ from pulsegrid.sources.keys import metric_keys, valid_day_keys
 from pulsegrid.sources.minutes import read_minutes
 from pulsegrid.sources.settle import settle
 from pulsegrid.sources.tables import read_table, write_table
+from pulsegrid.sources.versions import fingerprint, publish, published, write_once
 
 Path = str | PurePath
 
@@ -76,9 +77,9 @@ def duplicates(
 def outliers(
     spark: SparkSession, deduped_path: Path, outdir: Path, cfg: Outliers = Outliers(), fmt: str = "csv"
 ) -> steps.Cleaned:
-    result = steps.remove_outliers(read_minutes(spark, deduped_path, fmt), cfg)
-    stored = write_table(result.minutes, _at(outdir, "hr_1min_outlier_cleaned"), fmt)
-    return steps.Cleaned(stored, _small(result.summary, outdir, "step3_summary", fmt))
+    path = _at(outdir, "hr_1min_outlier_cleaned")
+    result = steps.remove_outliers(read_minutes(spark, deduped_path, fmt), cfg, store=lambda df: write_table(df, path, fmt))
+    return steps.Cleaned(result.minutes, _small(result.summary, outdir, "step3_summary", fmt))
 
 
 def valid_days(
@@ -175,17 +176,22 @@ def whole_cohort(
     daily_hr_path: Path | None = None,
     cfg: Cohort = Cohort(),
     fmt: str = "csv",
+    layout: str = "scan",
+    resume: bool = False,
 ) -> dict[str, DataFrame]:
     """The combined job from files to files, with the same sorted tables in every format.
 
-    What later tables are made from is kept as Parquet under ``tables``.
+    What later tables are made from is kept as Parquet under ``tables``. With ``resume``, tables that
+    stand finished in outdir are taken as they are: use it where outdir belongs to these inputs and
+    settings alone, as in ``published_cohort``. ``layout`` is that of CSV minutes, see ``csv_files``.
     """
+    write = write_once if resume else write_table
 
     def daily_table(path: Path) -> DataFrame:
         return read_table(spark, path, fmt, ordered=cfg.missingness.collapse == "first")
 
     sources = cohort.Sources(
-        read_minutes(spark, minutes_path, fmt),
+        read_minutes(spark, minutes_path, fmt, layout=layout),
         daily_table(activity_path),
         daily_table(resting_path),
         daily_table(sleep_path),
@@ -195,7 +201,7 @@ def whole_cohort(
     kept: dict[str, DataFrame] = {}
 
     def store(name: str, table: DataFrame) -> DataFrame:
-        kept[name] = write_table(table, _at(outdir, f"tables/{name}"))
+        kept[name] = write(table, _at(outdir, f"tables/{name}"))
         return kept[name]
 
     def finish(name: str, table: DataFrame) -> DataFrame:
@@ -203,6 +209,33 @@ def whole_cohort(
             table = kept["daily_hr_by_day"].orderBy("subject_id", "day_index").drop("day_index")
         elif name in _SORTED_BY:
             table = table.orderBy(*_SORTED_BY[name])
-        return write_table(table, _at(outdir, name), fmt)
+        return write(table, _at(outdir, name), fmt)
 
     return {name: finish(name, table) for name, table in cohort.run(sources, cfg, store).items()}
+
+
+def published_cohort(
+    spark: SparkSession,
+    minutes_path: Path,
+    activity_path: Path,
+    resting_path: Path,
+    sleep_path: Path,
+    outdir: Path,
+    daily_hr_path: Path | None = None,
+    cfg: Cohort = Cohort(),
+    fmt: str = "csv",
+    layout: str = "scan",
+) -> dict[str, DataFrame]:
+    """whole_cohort, published as one set: ``published(spark, outdir)`` names its folder when all of it is there.
+
+    A job that died is started again by the same call: it takes the tables that were finished and
+    computes the others. Until it is through, readers go on with the set before.
+    """
+    paths = (minutes_path, activity_path, resting_path, sleep_path, daily_hr_path)
+    version = f"cohort-{fingerprint(spark, paths, cfg, fmt, layout)}"
+    tables = whole_cohort(
+        spark, minutes_path, activity_path, resting_path, sleep_path, _at(outdir, version), daily_hr_path, cfg, fmt, layout, resume=True
+    )
+    if published(spark, outdir) != _at(outdir, version):
+        publish(spark, outdir, version)
+    return tables

@@ -7,9 +7,10 @@ the minutes are scanned once, however many of the results are used.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from pulsegrid.config import (
     ACTIVITY_METRICS,
@@ -33,6 +34,9 @@ from pulsegrid.sources.settle import settle
 from pulsegrid.sources.tables import SRC_ORDER, require_columns
 
 
+Store = Callable[[DataFrame], DataFrame]
+
+
 class Deduplicated(NamedTuple):
     minutes: DataFrame
     summary: DataFrame
@@ -89,12 +93,23 @@ def remove_duplicates(raw: DataFrame, cfg: Duplicates = Duplicates()) -> Dedupli
     return Deduplicated(kept, minutes.duplicate_counts(minutes.kept_by_day(kept)))
 
 
-def remove_outliers(deduped: DataFrame, cfg: Outliers = Outliers()) -> Cleaned:
-    """Readings outside the range zeroed or dropped."""
+def remove_outliers(deduped: DataFrame, cfg: Outliers = Outliers(), store: Store | None = None) -> Cleaned:
+    """Readings outside the range zeroed or dropped.
+
+    ``store`` writes a table and returns it as read back. With it, the counts are taken from the rows
+    as they pass by on their way to the store, so the minutes are read once for both results.
+    Without it, both are lazy and read the minutes each.
+    """
     require_columns(deduped, MINUTE_COLUMNS, "minute table")
     rows = with_full_time(deduped, cfg.normalize_time)
-    cleaned = minutes.clean_outliers(rows, cfg.min_hr, cfg.max_hr, cfg.mode)
-    return Cleaned(cleaned, minutes.outlier_counts(rows, cfg.min_hr, cfg.max_hr))
+    if store is None:
+        cleaned = minutes.clean_outliers(rows, cfg.min_hr, cfg.max_hr, cfg.mode)
+        return Cleaned(cleaned, minutes.outlier_counts(rows, cfg.min_hr, cfg.max_hr))
+    totals = minutes.outlier_totals(rows, cfg.min_hr, cfg.max_hr)
+    seen, empty = Observation("outliers"), rows.limit(0).agg(*totals)
+    stored = store(minutes.clean_outliers(rows.observe(seen, *totals), cfg.min_hr, cfg.max_hr, cfg.mode))
+    counts = seen.get  # without any total if the plan was found to have no rows
+    return Cleaned(stored, deduped.sparkSession.createDataFrame([tuple(counts.get(c, 0) for c in empty.columns)], empty.schema))
 
 
 def find_valid_days(cleaned: DataFrame, cfg: ValidDays = ValidDays()) -> Adherence:
@@ -135,7 +150,7 @@ def metric_coverage(
     sleep: DataFrame,
     cfg: Missingness = Missingness(),
 ) -> MetricCoverage:
-    """All daily metrics on the key days, and how many of each are missing."""
+    """All daily metrics on the key days, and how many of each are missing. The merged table is settled."""
     sources = [
         metrics.collapse_days(table, names, cfg.collapse)
         for table, names in (
@@ -145,7 +160,7 @@ def metric_coverage(
             (sleep, SLEEP_METRICS),
         )
     ]
-    merged = metrics.merge_metrics(metric_keys(keys, cfg.filter_valid_days), sources)
+    merged = settle(metrics.merge_metrics(metric_keys(keys, cfg.filter_valid_days), sources))
     return MetricCoverage(merged, metrics.missing_counts(merged, cfg.metrics))
 
 

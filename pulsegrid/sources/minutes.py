@@ -13,8 +13,10 @@ from pulsegrid.functions.heart_rate import has_reading, is_worn
 from pulsegrid.sources.tables import as_number, read_table, require_columns
 
 
-def read_minutes(spark: SparkSession, path: str | PurePath, fmt: str = "csv", ordered: bool = True) -> DataFrame:
-    return read_table(spark, path, fmt, MINUTE_COLUMNS, ordered)
+def read_minutes(
+    spark: SparkSession, path: str | PurePath, fmt: str = "csv", ordered: bool = True, layout: str = "scan"
+) -> DataFrame:
+    return read_table(spark, path, fmt, MINUTE_COLUMNS, ordered, layout)
 
 
 def with_full_time(minutes: DataFrame, normalize: bool = True) -> DataFrame:

@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from pulsegrid.config import HeartRateStats, Missingness
 from pulsegrid.operators import metrics, readings
@@ -78,7 +79,8 @@ def test_missingness_without_keys(spark):
     assert rows(metrics.first_rows(found, 1), "metric") == [("steps",)]
 
 
-def test_merge_shuffles_each_input_once(spark, capsys):
+def test_merge_shuffles_each_input_once(spark, capsys, monkeypatch):
+    monkeypatch.setattr(steps, "settle", lambda df: df)  # the plan that is stored, not the stored table
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         coverage(spark, Missingness(("steps",))).merged.explain()
@@ -128,10 +130,24 @@ def test_daily_heart_rate_of_nothing(spark, minutes):
     assert rows(summary) == [(0, 0, 0, 0, *[None] * 6)]
 
 
-def test_a_hot_day_is_split_in_the_semi_join(spark):
-    """Nine of ten rows belong to one subject-day; the adaptive plan splits it, repeated keys or not."""
-    from pyspark.sql import functions as F
+def test_minutes_test_their_day_where_they_are(spark, monkeypatch):
+    """Days below 0, on the borders of words, null and repeated; a column that clashes; both ways alike."""
+    days = [-65, -64, -1, 0, 1, 63, 64, 127, 128, 1000, None]
+    many = spark.createDataFrame([(s, d, i) for i, (s, d) in enumerate((s, d) for s in ("a", "b", None) for d in days * 3)],
+                                 "subject_id string, day_index long, bits int").withColumn("word", F.lit("mine"))
+    listed = [("a", d, "x") for d in (-64, -1, 0, 63, 128, 128, None)] + [("b", 64, "x"), (None, 0, "x"), ("c", 1, "x")]
+    keys = spark.createDataFrame(listed, "subject_id string, day_index long, date string")
+    kept = readings.rows_on_days(many, keys)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    monkeypatch.setattr(readings, "MOST_WORD_BYTES", 0)
+    assert rows(kept) == rows(readings.rows_on_days(many, keys).select(kept.columns))
+    assert sorted({(r.subject_id, r.day_index) for r in kept.collect()}) == [("a", -64), ("a", -1), ("a", 0), ("a", 63), ("a", 128), ("b", 64)]
+
 
+def test_a_hot_day_is_split_in_the_semi_join(spark, monkeypatch):
+    """Nine of ten rows belong to one subject-day; the adaptive plan splits it, repeated keys or not."""
+    monkeypatch.setattr(readings, "MOST_WORD_BYTES", 0)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",

@@ -238,3 +238,38 @@ def test_what_a_job_settled_is_removed_at_its_end(spark, events, tmp_path):
             settle(events)
         assert set(folder.iterdir()) - before == inside
     assert set(folder.iterdir()) == before
+
+
+def test_outliers_are_counted_as_the_cleaned_table_is_stored(spark, events):
+    n = events.count()
+    for mode in ("replace_zero", "drop"):
+        scans, cfg = Scans(spark, events), Outliers(60, 150, mode)
+        result = steps.remove_outliers(scans.df, cfg, store=settle)
+        assert rows(result.summary) == rows(steps.remove_outliers(events, cfg).summary)
+        assert rows(result.minutes) == rows(steps.remove_outliers(events, cfg).minutes)
+        assert scans.seen.value == n
+    nothing = steps.remove_outliers(events.limit(0), store=settle)
+    assert rows(nothing.summary) == [(0, 0, 0, 0)] and rows(nothing.minutes) == []
+    assert nothing.summary.schema == steps.remove_outliers(events).summary.schema
+
+
+def test_the_whole_job_reads_the_minutes_once(spark, events):
+    scans = Scans(spark, events)
+    tables = cohort.run(cohort.Sources(scans.df, *daily_inputs(spark)), SMALL)
+    for table in tables.values():
+        table.collect()
+    assert scans.seen.value == events.count()
+    flow = {r.stage: (r.rows, r.subjects) for r in tables["cohort_flow"].collect()}
+    assert flow["raw minutes"] == tuple(cohort.stage_counts("raw", events).first())[1:]
+    assert "unrecorded" not in tables["hr_1min_deduped"].columns
+
+
+def test_subjects_without_a_recorded_minute_leave_one_marker(minutes):
+    from pulsegrid.operators import minutes as ops
+
+    raw = minutes(("a", "day0", "09:30:00", "60"), ("a", "day0", "09:30:00", "70"), ("a", "day0", "09:31:00", "0"), ("a", None, "x", None),
+                  ("b", "day0", "09:30:00", None), ("b", "day1", "bad", "60"), (None, "day0", "09:30:00", "0"), (None, "day0", "09:30:00", "5"))
+    found = ops.keep_one_marked(raw).select("subject_id", "date", "time", "hr", "src_order", "copies", "unrecorded")
+    assert rows(found) == rows(raw.sparkSession.createDataFrame(
+        [("a", "day0", "09:30:00", "70", 1, 2, False), ("a", None, None, None, None, 2, True), ("b", None, None, None, None, 2, True),
+         (None, "day0", "09:30:00", "5", 7, 1, False), (None, None, None, None, None, 1, True)], found.schema))

@@ -73,19 +73,92 @@ def test_an_offset_that_does_not_fit_raises(spark, tmp_path, monkeypatch):
         read_minutes(spark, tmp_path).collect()
 
 
-HEADERS = ("subject_id,date,time,hr", "date,subject_id,time,hr")
+HEADERS = ("subject_id,date,time,hr", "date,Subject_ID, time,hr", "hr,time,date,subject_id")
 
 
-def test_csv_files_of_another_column_order_are_an_error(spark, tmp_path):
-    cells = {"subject_id": "s", "date": "day1", "time": "09:30", "hr": "70"}
+def _layouts(tmp_path):
+    cells = {"subject_id": "s", "date": "day1", "time": "09:30"}
     for at, header in enumerate(HEADERS):
-        (tmp_path / f"{at}.csv").write_text(header + "\n" + ",".join(cells[c] for c in header.split(",")) + "\n")
+        names = [c.strip().lower() for c in header.split(",")]
+        lines = [",".join({**cells, "hr": f"{at}{k}"}[c] for c in names) for k in range(9)]
+        (tmp_path / f"{at} of {len(HEADERS)} [x].csv").write_text(header + "\n" + "\n".join(lines) + "\n")
+
+
+def test_csv_files_of_another_column_order_are_read_by_name(spark, tmp_path):
+    _layouts(tmp_path)
+    df = read_minutes(spark, tmp_path)
+    assert [(r.subject_id, r.date, r.time, r.hr) for r in df.orderBy("src_order").collect()] == [
+        ("s", "day1", "09:30", f"{a}{k}") for a in range(len(HEADERS)) for k in range(9)
+    ]
+    assert rows(read_minutes(spark, tmp_path, ordered=False), "hr", "date")[0] == ("00", "day1")
+
+
+@pytest.mark.parametrize("layout", ["lines", "records"])
+def test_another_column_order_is_an_error_where_one_header_was_promised(spark, tmp_path, layout):
+    _layouts(tmp_path)
     with pytest.raises(Exception, match="header"):
-        read_minutes(spark, tmp_path, ordered=False).collect()
+        read_minutes(spark, tmp_path, ordered=False, layout=layout).collect()
     with pytest.raises(Exception, match="header"):
-        read_minutes(spark, tmp_path, ordered=False).select("subject_id", "hr").collect()
-    for at, header in enumerate(HEADERS):
-        assert rows(read_minutes(spark, tmp_path / f"{at}.csv", ordered=False), "subject_id", "date") == [("s", "day1")]
+        read_minutes(spark, tmp_path, ordered=False, layout=layout).select("subject_id", "hr").collect()
+
+
+def test_files_with_other_columns_are_an_error(spark, tmp_path):
+    (tmp_path / "0.csv").write_text("subject_id,date,time,hr\ns,day1,09:30,1\n")
+    (tmp_path / "1.csv").write_text("subject_id,date,time\ns,day1,09:30\n")
+    with pytest.raises(ValueError, match="other columns"):
+        read_minutes(spark, tmp_path)
+
+
+ODD = [
+    ("s\n2", "day0", "09:30", "1"), ('a,"b"', "day0", "09:31", "2"), ("s", "day0", "09:32", "3\n4,5,6\n"), ("s", "day0", "09:33", '"'),
+    ("s", "day1", "09:34", None), ("\n\n", "day1,x", None, "5"), ("last", "day1", "09:36", "6"),
+]
+
+
+def _text(cells):
+    quoted = ['"' + c.replace('"', '""') + '"' if c and any(x in c for x in '\n,"') else c or "" for c in cells]
+    return ",".join(quoted) + "\n"
+
+
+@pytest.mark.parametrize("layout", ["scan", "records"])
+def test_rows_over_several_lines_are_whole_and_in_order(spark, tmp_path, layout):
+    plain = [("p", "day0", "09:30", str(k)) for k in range(300)]
+    header = "subject_id,date,time,hr\n"
+    (tmp_path / "a.csv").write_text(header + "".join(map(_text, plain)))
+    (tmp_path / "b.csv").write_text(header + "".join(map(_text, ODD * 20)))
+    (tmp_path / "c.csv").write_text(header + "".join(map(_text, plain[:7])))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 300)
+    try:
+        df = read_minutes(spark, tmp_path, layout=layout)
+        found = [tuple(r)[:4] for r in df.select("subject_id", "date", "time", "hr", "src_order").orderBy("src_order").collect()]
+        tasks = df.rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == plain + ODD * 20 + plain[:7]
+    assert (tasks > 10) == (layout == "scan")  # files without such rows stay split
+
+
+@pytest.mark.parametrize("layout", ["scan", "lines", "records"])
+def test_a_row_with_too_many_cells_is_an_error(spark, tmp_path, layout):
+    (tmp_path / "good.csv").write_text("subject_id,date,time,hr\ns,day0,09:30,1\nshort,day0\n\n")
+    assert rows(read_minutes(spark, tmp_path, layout=layout), "subject_id", "hr") == [("s", "1"), ("short", None)]
+    (tmp_path / "long.csv").write_text('subject_id,date,time,hr\n"a,b",day0,09:30,1\ns,day0,09:30,1,EXTRA\n')
+    for columns in (["subject_id"], ["subject_id", "date", "time", "hr"]):
+        with pytest.raises(Exception, match="more cells than the header in .*long.csv.*EXTRA"):
+            read_minutes(spark, tmp_path, layout=layout).select(*columns).collect()
+    with pytest.raises(Exception, match="more cells than the header in .*long.csv"):
+        read_minutes(spark, tmp_path, layout=layout).count()
+
+
+def test_an_unknown_layout_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("subject_id,date,time,hr\n")
+    with pytest.raises(ValueError, match="layout"):
+        read_minutes(spark, tmp_path, layout="rows")
+
+
+def test_written_cells_may_hold_line_ends(spark, tmp_path):
+    df = spark.createDataFrame(ODD, "subject_id string, date string, time string, hr string")
+    assert rows(write_table(df, tmp_path / "t", "csv")) == rows(df) == rows(read_minutes(spark, tmp_path / "t", ordered=False))
 
 
 def test_parquet_row_order(spark, tmp_path):
