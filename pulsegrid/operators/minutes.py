@@ -61,10 +61,13 @@ def keep_one_marked(
     Each task folds a subject's other rows to one before the shuffle, so markers cost next to
     nothing, and who is only ever seen without a reading needs no second scan.
     """
+    require_columns(minutes.select(*key), ["subject_id", "date"], "dedup key")
     recorded = is_day(F.col("date")) & is_time(F.col("time"), short) & has_reading(as_number(minutes, "hr"))
-    recorded = F.coalesce(recorded, F.lit(False))
-    cells = [F.col(c) if c == "subject_id" else F.when(recorded, F.col(c)).alias(c) for c in minutes.columns]
-    return keep_one(minutes.select(*cells, (~recorded).alias(UNRECORDED)), [*key, UNRECORDED], keep)
+    cells = [F.when(recorded, F.col(c)).alias(c) if c in key and c != "subject_id" else F.col(c) for c in minutes.columns]
+    kept = keep_one(minutes.select(*cells), key, keep)
+    marker = F.col("date").isNull()  # a recorded row has a date
+    empty = lambda c: c in ("subject_id", COPIES, *key)
+    return kept.select(*[F.col(c) if empty(c) else F.when(~marker, F.col(c)).alias(c) for c in kept.columns], marker.alias(UNRECORDED))
 
 
 def kept_by_day(deduped: DataFrame) -> DataFrame:
