@@ -124,15 +124,10 @@ def _csv_round_trip(i: _Inputs) -> DataFrame:
     return read_minutes(i.spark, path, "csv", ordered=False)
 
 
-#: The same for both engines: subjects with line ends, quotes and commas in them.
-ODD_SUBJECT = """case when src_order % 11 = 0 then subject_id || chr(10) || '"a", ' || time || chr(10) || chr(10)
-when src_order % 13 = 0 then subject_id || ',' when src_order % 17 = 0 then '"' || subject_id else subject_id end"""
-
-
 def _csv_odd_records(i: _Inputs) -> DataFrame:
     """Rows that run over several lines, written in several files and deduplicated by their place there."""
     path = f"{shared_folder(i.spark)}/csv-{uuid.uuid4().hex}"
-    rows = i.sparse.withColumn("subject_id", F.expr(ODD_SUBJECT))
+    rows = i.sparse.withColumn("subject_id", F.expr(workload.ODD_SUBJECT))
     parts = rows.repartitionByRange(4, "src_order").sortWithinPartitions("src_order")
     write_table(parts.select(*MINUTE_COLUMNS), path, "csv")
     return steps.remove_duplicates(read_minutes(i.spark, path, "csv")).minutes.drop(SRC_ORDER)

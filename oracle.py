@@ -41,9 +41,7 @@ def _sparse(normalize: bool = True) -> dict[str, str]:
 
 
 def _odd_subjects() -> dict[str, str]:
-    from __spark_entry__ import ODD_SUBJECT
-
-    return {"raw": f"select * replace ({ODD_SUBJECT} as subject_id) from ({workload.sparse_sql()})", "p": _parsed("raw")}
+    return {"raw": f"select * replace ({workload.ODD_SUBJECT} as subject_id) from ({workload.sparse_sql()})", "p": _parsed("raw")}
 
 
 def _any_num(cell: str) -> str:

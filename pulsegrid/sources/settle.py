@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Folders of the jobs that run just now in this driver, innermost last.
-_JOBS: list[str] = []
+# The folder of the job that runs just now in this thread of the driver, the innermost one.
+_JOB: ContextVar[str | None] = ContextVar("job", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,7 +27,7 @@ def settle(df: DataFrame) -> DataFrame:
     Losing executors later costs nothing: the table is on shared storage. Being columnar,
     it is pruned on every read, and its size is known when a join picks its strategy.
     """
-    folder = _JOBS[-1] if _JOBS else shared_folder(df.sparkSession)
+    folder = _JOB.get() or shared_folder(df.sparkSession)
     path = f"{folder}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -39,10 +40,10 @@ def settled_for(spark: SparkSession) -> Iterator[None]:
     Frames made inside cannot be read any more afterwards.
     """
     folder = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
-    _JOBS.append(folder)
+    before = _JOB.set(folder)
     try:
         yield
     finally:
-        _JOBS.remove(folder)
+        _JOB.reset(before)
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

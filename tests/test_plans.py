@@ -273,3 +273,25 @@ def test_subjects_without_a_recorded_minute_leave_one_marker(minutes):
     assert rows(found) == rows(raw.sparkSession.createDataFrame(
         [("a", "day0", "09:30:00", "70", 1, 2, False), ("a", None, None, None, None, 2, True), ("b", None, None, None, None, 2, True),
          (None, "day0", "09:30:00", "5", 7, 1, False), (None, None, None, None, None, 1, True)], found.schema))
+
+
+def test_jobs_of_two_threads_keep_their_own_folders(spark):
+    from threading import Barrier, Thread
+
+    from pulsegrid.sources.settle import settled_for
+
+    both, found = Barrier(2), {}
+
+    def job(name):
+        with settled_for(spark):
+            both.wait(60)
+            table = settle(spark.range(3))
+            found[name] = {file.split("/settled-")[0] for file in table.inputFiles()}
+            both.wait(60)
+
+    threads = [Thread(target=job, args=(k,)) for k in range(2)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert len(found[0]) == len(found[1]) == 1 and found[0] != found[1]

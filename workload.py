@@ -54,6 +54,11 @@ def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_null_texts(spark.sql(query, events=table(spark, sf_dir, "events")))
 
 
+# The same for both engines: subjects with line ends, quotes and commas in them.
+ODD_SUBJECT = """case when src_order % 11 = 0 then subject_id || chr(10) || '"a", ' || time || chr(10) || chr(10)
+when src_order % 13 = 0 then subject_id || ',' when src_order % 17 = 0 then '"' || subject_id else subject_id end"""
+
+
 # {tab} is a tab; every twelfth label, seventh time and thirteenth reading is spelled in one odd way.
 _ODD = """
 select event_id as src_order, concat('s', cast(user_id % 20 as {text})) as subject_id,
