@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -27,10 +27,22 @@ def settle(df: DataFrame) -> DataFrame:
     Losing executors later costs nothing: the table is on shared storage. Being columnar,
     it is pruned on every read, and its size is known when a join picks its strategy.
     """
-    folder = _JOB.get() or shared_folder(df.sparkSession)
-    path = f"{folder}/settled-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return settle_all([df])
+
+
+def settle_all(frames: Iterable[DataFrame]) -> DataFrame:
+    """Settles frames of one schema, at least one, in one table.
+
+    A frame is asked for when the one before it is stored. So a job in passes, which yields them, holds
+    one pass at a time, and its plan does not grow with the passes.
+    """
+    path = schema = None
+    for df in frames:
+        if path is None:
+            spark, schema = df.sparkSession, df.schema
+            path = f"{_JOB.get() or shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+        df.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 @contextmanager
