@@ -8,23 +8,26 @@ place, places of an item that lie within the budget of each other are one, and M
 bit-parallel recurrence gives the least distance within the place's window.
 
 The items reach the tasks in blocks of about ``BLOCK_CHARS`` characters, one pass over the
-documents for each block, so a benchmark of any size fits: what is sent at once is bounded.
-
-Documents are read whole. Null and empty texts, on either side, match nothing. Rows with the
-same id are searched each; a repeated item row gives repeated pairs once. Other columns are left
-out.
+documents for each block. A pass is stored before the next block is fetched, so the driver holds
+one block at a time, whatever the size of the benchmark.
+
+Documents are read whole. Null and empty texts, on either side, match nothing; so do items with a
+null id in ``leaks``, which has no name for them (``clean`` drops documents that hold one). Rows
+with the same id are searched each; a repeated item row gives repeated pairs once. Of places with
+the same distance the first one counts. Empty documents give an empty result, an empty benchmark
+finds nothing. Other columns are left out by ``leaks`` and kept by ``clean``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.frames import only
+from pulsegrid.sources.settle import settle, settle_all
 
 BUDGET = 0.08
 BLOCK_CHARS = 4_000_000
@@ -134,10 +137,23 @@ class Searcher:
         return best
 
 
-def _blocks(items: DataFrame, chars: int) -> list[DataFrame]:
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    parts = max(1, -(-total // chars))
-    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k) for k in range(parts)]
+Items = list[tuple[int | None, str]]
+
+
+class Blocks:
+    """The benchmark's different items in blocks of about so many characters, fetched one at a time."""
+
+    def __init__(self, benchmark: DataFrame, chars: int):
+        items = only(benchmark, ("item_id", "text"), "benchmark").where("text is not null").distinct()
+        total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+        self.number = max(1, -(-total // chars))
+        block = F.pmod(F.xxhash64("item_id", "text"), F.lit(self.number)).alias("block")
+        items = items.select("item_id", "text", block)
+        self.items = items if self.number == 1 else settle(items)
+
+    def fetch(self, k: int) -> Items:
+        rows = self.items.where(F.col("block") == k).collect()  # about as many characters as a block has
+        return sorted(((r.item_id, normalised(r.text)) for r in rows), key=lambda item: (item[0] is None, *item))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -147,11 +163,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, block_c
     deletions of the match.
     """
     docs = only(docs, ("doc_id", "text"), "documents")
-    items = only(benchmark, ("item_id", "text"), "benchmark").where("text is not null").distinct()
+    blocks = Blocks(benchmark, block_chars)
     names = [c.split()[0] for c in LEAKS.split(", ")]
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
 
-    def search(block: list[tuple[int, str]]) -> DataFrame:
+    def search(block: Items) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             searcher = Searcher(block, budget)
             for batch in batches:
@@ -165,18 +181,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, block_c
 
         return docs.mapInArrow(run, LEAKS)
 
-    found = []
-    for block in _blocks(items, block_chars):
-        rows = block.collect()  # about block_chars characters
-        found.append(search(sorted((r.item_id, normalised(r.text)) for r in rows if r.item_id is not None)))
-    return reduce(DataFrame.unionByName, found)
+    passes = (search([item for item in blocks.fetch(k) if item[0] is not None]) for k in range(blocks.number))
+    return next(passes) if blocks.number == 1 else settle_all(passes)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents in which no item is found, with all their columns; a row is judged by its text alone."""
-    items = only(benchmark, ("item_id", "text"), "benchmark").where("text is not null").distinct()
+    blocks = Blocks(benchmark, block_chars)
 
-    def without(rows: DataFrame, block: list[tuple[int, str]]) -> DataFrame:
+    def without(rows: DataFrame, block: Items) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             searcher = Searcher(block, budget)
             for batch in batches:
@@ -185,6 +198,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, block_c
 
         return rows.mapInArrow(run, rows.schema)
 
-    for block in _blocks(items, block_chars):
-        docs = without(docs, sorted((r.item_id or 0, normalised(r.text)) for r in block.collect()))
-    return docs
+    for k in range(blocks.number - 1):
+        docs = settle(without(docs, blocks.fetch(k)))
+    return without(docs, blocks.fetch(blocks.number - 1))

@@ -78,6 +78,36 @@ def test_leaks_match_brute_force(spark, block_chars):
     assert stays.columns == ["doc_id", "text", "lang"]
 
 
+def test_one_block_at_a_time(spark, monkeypatch):
+    """A block is fetched when the pass of the one before is stored; plans do not grow with the blocks."""
+    rng = random.Random(7)
+    items = [(i, sentence(rng, 30)) for i in range(40)] + [(None, "nameless item of the benchmark")]
+    docs = [(i, sentence(rng, 10) + " " + items[i][1]) for i in range(41)] + [(50, "nothing of it")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    log = []
+    fetch, store = d.Blocks.fetch, d.settle_all
+    monkeypatch.setattr(d.Blocks, "fetch", lambda self, k: log.append(f"fetch {k}") or fetch(self, k))
+
+    def stored(frames):
+        def noted():
+            for frame in frames:
+                log.append("pass")
+                yield frame
+
+        return store(noted())
+
+    monkeypatch.setattr(d, "settle_all", stored)
+    found = d.leaks(docs, bench, block_chars=1500)
+    blocks = len(log) // 2
+    assert blocks > 3 and log == [entry for k in range(blocks) for entry in (f"fetch {k}", "pass")]
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i) for i in range(40)}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    stays = d.clean(docs, bench, block_chars=1500)
+    assert [r.doc_id for r in stays.collect()] == [50]
+    assert stays._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "text")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "text")], "item_id long, text string")
