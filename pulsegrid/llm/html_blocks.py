@@ -31,13 +31,15 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+))")
 _SPACE = re.compile(r"\s+")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 @dataclass
 class Block:
     text: str
     tags: tuple[str, ...]  # from the outermost to the block's own element
-    names: tuple[str, ...]  # words of class, id and role of all of them
+    path: tuple[int, ...]  # a number for each of these elements, its own on the page
+    named: tuple[tuple[str, ...], ...]  # words of class, id and role of each of them
     linked: int  # characters inside links
     label: str | None  # the value of the label attribute nearest to the block, on labelled pages
 
@@ -55,9 +57,9 @@ def leaf_blocks(page: str | None, label_attribute: str = "data-label") -> list[B
     """
     page = page or ""
     blocks: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], str | None]] = []
+    stack: list[tuple[str, tuple[str, ...], str | None, int]] = []
     text: list[str] = []
-    linked = 0
+    linked = opened_so_far = 0
 
     def flush() -> None:
         nonlocal linked
@@ -65,7 +67,8 @@ def leaf_blocks(page: str | None, label_attribute: str = "data-label") -> list[B
         if joined:
             outer = [entry for entry in stack if entry[0] not in INLINE]
             label = next((e[2] for e in reversed(stack) if e[2] is not None), None)
-            blocks.append(Block(joined, tuple(e[0] for e in outer), tuple(n for e in outer for n in e[1]), linked, label))
+            tags, named, _, path = zip(*outer, strict=True) if outer else ((), (), (), ())
+            blocks.append(Block(joined, tags, path, named, linked, label))
         text.clear()
         linked = 0
 
@@ -120,7 +123,8 @@ def leaf_blocks(page: str | None, label_attribute: str = "data-label") -> list[B
             at = end.end() if end else len(page)
             continue
         found = _attributes(token["rest"]) if token["rest"].strip() else {}
-        names = tuple(re.findall(r"[a-z]+", " ".join(found.get(k, "") for k in ("class", "id", "role")).lower()))
-        stack.append((name, names, found.get(label_attribute)))
+        words = _HUMP.sub(" ", " ".join(found.get(k, "") for k in ("class", "id", "role"))) if found else ""
+        opened_so_far += 1
+        stack.append((name, tuple(re.findall(r"[a-z]+", words.lower())), found.get(label_attribute), opened_so_far))
     flush()
     return blocks

@@ -1,23 +1,34 @@
 """Main text of web pages by a linear-chain conditional random field over DOM leaf blocks.
 
-A page is its leaf blocks in order (``html_blocks``). A block is described by its ancestors'
-tags, the words of their classes and ids, and its text: length, end, share of links. The field
-has a weight for each feature and label and for each pair of neighbouring labels; it is fitted
-in numpy on the labelled pages below, by gradient ascent on their log likelihood with the
+A page is its leaf blocks in order (``html_blocks``). A block is described by
+
+- its ancestors' tags, the words of their classes and ids, and how these words begin;
+- its place: inside the page's article (or main element) or outside it, there under an element with
+  a class or id (or an aside, a form, ...) or not, and whether the article has paragraphs of its own beside that element;
+- whether its ancestors bear names, and one of them only such that the field does not know, joined
+  with the place;
+- how much of the page's plain text its container holds, joined with the place;
+- its text: length, end, share of links.
+
+The field has a weight for each feature and label and for each pair of neighbouring labels; it is
+fitted in numpy on the labelled pages below, by gradient ascent on their log likelihood with the
 forward-backward recursion, and pages are decoded by Viterbi. The main text is the blocks
 labelled main, joined by newlines.
 
 The labelled pages are layouts with filler text. Every layout is filled several times with texts
-of different lengths, so that the structure decides and the wording cannot.
+of different lengths, so that the structure decides and the wording cannot. Some of the classes and
+ids are replaced by words of chance, so that the place decides where no name is known.
 
-A null or empty page has an empty text. Pages are read whole; repeated rows are extracted each;
-other columns are left out.
+A null or empty page has an empty text, an empty table an empty result. Pages are read whole;
+repeated rows are extracted each; of equally likely labels a block takes OTHER; other columns are
+left out.
 """
 
 from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +43,8 @@ TEXTS = "page_id long, url string, text string, n_chars long"
 MAIN, OTHER = 1, 0
 
 #: The labelled pages: layouts whose elements carry their label. {s}, {m} and {l} stand for a few
-#: words, a sentence or two, and a paragraph.
+#: words, a sentence or two, and a paragraph, {n}, {c} and {i} for a name of something that is not
+#: main text, of what holds it, and of a part of it.
 LAYOUTS = (
     "<body data-label=0><nav><ul><li><a href=/>{s}</a></li><li><a href=/>{s}</a></li></ul></nav><div class=ad>{m}</div>"
     "<article data-label=1><h1>{s}</h1><p>{l}<p>{s}<p>{l}</article><footer>&copy; {s} &middot; {m}</footer></body>",
@@ -77,8 +89,52 @@ LAYOUTS = (
     "<div id=comments data-label=0><div class=reply><p>{l}</p></div></div><div class=newsletter data-label=0>{m}</div>"
     "<div class='cookie banner' data-label=0><p>{s}</p></div></article>"
     "<div class='menu navigation'>{s}</div><div class='cookie banner consent'><p>{s}</p></div></body>",
+    "<body data-label=1><div>{l}</div></body>",
+    "<body data-label=1><div>{m}</div></body>",
+    "<body data-label=1>{l}</body>",
+    "<body data-label=1><div><p>{m}</p><p>{l}</p></div></body>",
+    "<body data-label=1><h1>{s}</h1><div>{l}</div><div>{l}</div></body>",
+    "<body data-label=0><nav><a href=/>{s}</a></nav><div data-label=1>{l}</div><footer>{s}</footer></body>",
+    "<body data-label=0><div class={n}><p>{l}</p></div><article data-label=1><h1>{s}</h1><p>{m}</p><div class={n} data-label=0><p>{l}</p></div>"
+    "<p>{l}</p><div id={n} data-label=0>{m}</div></article><div class={n}><p>{l}</p></div></body>",
+    "<body data-label=0><article data-label=1><div class={n} data-label=0><p>{m}</p><p>{l}</p></div><h1>{s}</h1><p>{m}</p><p>{s}</p>"
+    "<ul><li>{m}</li></ul><section class={n} data-label=0><h3>{s}</h3><p>{l}</p></section></article><div id={n}><p>{m}</p></div></body>",
+    "<body data-label=0><div class={n}>{s}</div><article data-label=1><h1>{s}</h1><div class={c}><p>{l}</p><p>{m}</p><h2>{s}</h2><p>{l}</p></div>"
+    "<div class={n} data-label=0><p>{m}</p></div></article><div class={n}><h3>{s}</h3><p>{l}</p><p>{m}</p></div></body>",
+    "<body data-label=0><main data-label=1><h1>{s}</h1><p>{l}</p><div class={n} data-label=0><p>{l}</p></div><p>{m}</p></main>"
+    "<section class={n}><p>{l}</p></section><div class={n}><a href=/>{s}</a></div></body>",
+    "<body data-label=0><main><h1 data-label=1>{s}</h1><div class={c} data-label=1><p>{l}</p><p>{l}</p><p>{m}</p></div><div class={n}><p>{m}</p></div></main></body>",
+    "<body data-label=0><article data-label=1><h1>{s}</h1><p>{l}</p><div class={i}><pre>{m}</pre></div><p>{m}</p>"
+    "<div class={i}><table><tr><td>{s}</td><td>{s}</td></tr></table></div><p>{l}</p><div class={n} data-label=0><p>{m}</p></div></article></body>",
+    "<body data-label=0><article data-label=1><p class={i}>{m}</p><p>{l}</p><blockquote class={i}><p>{m}</p></blockquote><p>{l}</p>"
+    "<aside class={n} data-label=0><p>{l}</p></aside><p class={n} data-label=0>{m}</p></article></body>",
+    "<body data-label=0><div class={n}><p>{m}</p></div><div class={c} data-label=1><h1>{s}</h1><p>{l}</p><p>{l}</p><p>{s}</p><p>{l}</p></div>"
+    "<div class={n}><p>{m}</p></div><div class={n}>{s}</div></body>",
+    "<body data-label=0><div class={n}><a href=/>{s}</a></div><div id={c}><h1 data-label=1>{s}</h1><div class={c} data-label=1><p>{l}</p><p>{m}</p><p>{l}</p></div>"
+    "<div class={n}><p>{m}</p></div></div><div class={n}><p>{m}</p><form><p>{s}</p></form></div></body>",
+    "<body data-label=0><main><h1 data-label=1>{s}</h1><article data-label=1><p>{m}</p><ul class={n} data-label=0><li>{m}</li><li>{s}</li></ul><p>{l}</p></article>"
+    "<div class={n}><p>{l}</p></div><section id={n}><h3>{s}</h3><p>{m}</p></section></main><div class={n}><p>{m}</p></div></body>",
+    "<body data-label=0><article data-label=1><h1>{s}</h1><p>{m}</p><div class={n} data-label=0><p>{l}</p><p>{l}</p></div><p>{m}</p></article></body>",
+    "<body data-label=0><article data-label=1><h1>{s}</h1><p>{m}</p><p>{m}</p><div class={n} data-label=0>{l}</div></article><div class={n}><p>{l}</p></div></body>",
+    "<body data-label=0><h1 data-label=1>{s}</h1><p data-label=1>{l}</p><p data-label=1>{m}</p><div class={n}><p>{m}</p></div>"
+    "<p data-label=1>{l}</p><div id={n}><p>{l}</p></div></body>",
+    "<body data-label=0><div class={n}>{m}</div><h1 data-label=1>{s}</h1><p data-label=1>{l}</p><p data-label=1>{m}</p><div class={n}><p>{l}</p></div></body>",
+    "<body data-label=0><div class={c} data-label=1><h1>{s}</h1><p>{m}</p><p>{l}</p></div><div class={n}><p>{m}</p></div><div class={n}><p>{l}</p></div></body>",
 )
-COPIES = 6
+#: Usual words in classes and ids of pages.
+NAMES = {
+    "n": "ad ads advert advertisement alert author banner breadcrumbs bottom bar buttons byline caution comment comments consent contact cookie "
+    "copyright cta discussion donate feedback follow foot footer form fundraiser head header legal links login masthead menu message meta modal "
+    "more nav newsletter notice notification overlay pager paywall policy popup privacy rating recommended register related reply respond review "
+    "search share side sidebar social sponsor sponsored subscribe survey tags teaser terms tools top trending utility warning widget",
+    "c": "article body content entry main page post story text",
+    "i": "caption code example figure gallery highlight image intro lead listing math media pullquote quote subtitle summary table verse",
+}
+COPIES = 8
+#: Names on fewer labelled pages are unknown.
+KNOWN_FROM = 3
+#: Share of names on the labelled pages that words of chance replace.
+UNKNOWN = 0.3
 STEPS = 150
 RATE = 0.5
 DECAY = 1e-3
@@ -92,23 +148,91 @@ def _filler(rng: random.Random, kind: str) -> str:
     return " ".join(words).capitalize() + end
 
 
-def labelled_pages(copies: int = COPIES, seed: int = SEED) -> list[str]:
+def _word(rng: random.Random) -> str:
+    return "".join(rng.choices("abcdefghijklmnoprstuvwxyz", k=rng.randint(3, 10)))
+
+
+def _name(rng: random.Random, kind: str) -> str:
+    words = [rng.choice(NAMES[kind].split()), rng.choice([_word(rng), *NAMES[kind].split()])]
+    return _word(rng) if rng.random() < UNKNOWN else "-".join(words[: rng.randint(1, 2)])
+
+
+def _page(rng: random.Random, layout: str) -> str:
+    page = re.sub(r"(class|id)=('[^']*'|\w[^ >]*)", lambda m: f"{m[1]}={_word(rng)}" if rng.random() < UNKNOWN else m[0], layout)
+    page = re.sub(r"\{([nci])\}", lambda m: _name(rng, m[1]), page)
+    return re.sub(r"\{([sml])\}", lambda m: _filler(rng, m[1]), page)
+
+
+def labelled_pages(copies: int = COPIES, seed: int = SEED, layouts: tuple[str, ...] = LAYOUTS) -> list[str]:
     rng = random.Random(seed)
-    return [re.sub(r"\{([sml])\}", lambda m: _filler(rng, m[1]), layout) for layout in LAYOUTS for _ in range(copies)]
+    return [_page(rng, layout) for layout in layouts for _ in range(copies)]
+
+
+_CONTAINERS = frozenset("body div article main section td aside header footer nav form".split())
+_APART = frozenset("aside form nav footer".split())  # set apart without a name
+
+
+def _places(blocks: list[Block]) -> list[str]:
+    """none: the page has no article and no main element. outside: the block is in neither.
+
+    Inside one, plain: not under an element that is set apart; aside: under one, where the home (the
+    outermost article, else the main element) has paragraphs of its own; within: under one, where it has
+    none. beside and astray are plain and set apart, in a main element but outside its articles.
+    """
+    articles = any("article" in block.tags for block in blocks)
+    homes, apart = [], []
+    for block in blocks:
+        at = next((block.tags.index(tag) for tag in ("article", "main") if tag in block.tags), None)
+        homes.append(None if at is None else block.path[at])
+        apart.append(at is not None and (any(block.named[at + 1 :]) or not _APART.isdisjoint(block.tags[at + 1 :])))
+    plain = {h for block, h, a in zip(blocks, homes, apart, strict=True) if h and not a and block.text.count(" ") >= 4}
+    out = []
+    for block, home, away in zip(blocks, homes, apart, strict=True):
+        if not home:
+            out.append("outside" if any(homes) else "none")
+        elif articles and "article" not in block.tags:
+            out.append("astray" if away else "beside")
+        else:
+            out.append("plain" if not away else "aside" if home in plain else "within")
+    return out
+
+
+def _weights(blocks: list[Block]) -> list[str]:
+    holders = []
+    held: dict[int, int] = {}
+    for block in blocks:
+        holder = next((n for tag, n in zip(reversed(block.tags), reversed(block.path), strict=True) if tag in _CONTAINERS), 0)
+        holders.append(holder)
+        held[holder] = held.get(holder, 0) + max(0, len(block.text) - block.linked)
+    total = max(1, sum(held.values()))
+    return ["most" if 2 * held[h] >= total else "some" if 5 * held[h] >= total else "little" for h in holders]
 
 
-def features(block: Block) -> list[str]:
-    n = len(block.text.split(" ", 121))
-    share = block.linked / len(block.text)
-    return [
-        "bias",
-        *{f"tag {t}" for t in block.tags if t not in ("html", "body", "div", "span")},
-        f"own {block.tags[-1] if block.tags else ''}",
-        *{f"name {name}" for name in block.names},
-        f"words {sum(n > most for most in (1, 3, 8, 20, 60, 120))}",
-        f"links {'none' if share == 0 else 'few' if share < 0.5 else 'most'}",
-        f"end {block.text[-1] if block.text[-1] in '.!?,:;' else ''}",
-    ]
+def features(blocks: list[Block], known: frozenset[str]) -> list[list[str]]:
+    """Each block's features; known are the names that the field has learned."""
+    out = []
+    for block, place, weight in zip(blocks, _places(blocks), _weights(blocks), strict=True):
+        n = len(block.text.split(" ", 121))
+        share = block.linked / len(block.text)
+        names = {name for words in block.named for name in words}
+        strange = any(words and not known.intersection(words) for words in block.named)
+        named = "strange" if strange else "known" if names else "no"
+        row = {f"tag {t}" for t in block.tags if t not in ("html", "body", "div", "span")}
+        row |= {f"name {name}" for name in names & known}
+        row |= {f"start {name[:4]}" for name in names if len(name) > 4}
+        row |= {
+            "bias",
+            f"own {block.tags[-1] if block.tags else ''}",
+            f"place {place}",
+            f"names {named} {place}",
+            f"weight {weight}",
+            f"weight {weight} {place}",
+            f"words {sum(n > most for most in (1, 3, 8, 20, 60, 120))}",
+            f"links {'none' if share == 0 else 'few' if share < 0.5 else 'most'}",
+            f"end {block.text[-1] if block.text[-1] in '.!?,:;' else ''}",
+        }
+        out.append(sorted(row))
+    return out
 
 
 @dataclass
@@ -118,6 +242,7 @@ class Field:
     emission: dict[str, tuple[float, float]]
     pair: tuple[tuple[float, float], tuple[float, float]]
     first: tuple[float, float]
+    known: frozenset[str]
 
     def decode(self, blocks: list[Block]) -> list[int]:
         """The likeliest labels, by Viterbi. Of equal ones, the label OTHER."""
@@ -125,8 +250,8 @@ class Field:
             return []
         back: list[tuple[int, int]] = []
         best: tuple[float, float] | None = None
-        for block in blocks:
-            scores = [self.emission[f] for f in features(block) if f in self.emission]
+        for row in features(blocks, self.known):
+            scores = [self.emission[f] for f in row if f in self.emission]
             own = sum(s[0] for s in scores), sum(s[1] for s in scores)
             if best is None:
                 best = self.first[0] + own[0], self.first[1] + own[1]
@@ -158,11 +283,10 @@ def _marginals(emission: np.ndarray, pair: np.ndarray, first: np.ndarray) -> tup
 
 def fit(pages: list[str] | None = None) -> Field:
     """Gradient ascent on the mean log likelihood of labelled pages, with weight decay."""
-    chains = []
-    for page in pages or labelled_pages():
-        blocks = leaf_blocks(page)
-        if blocks:
-            chains.append(([features(b) for b in blocks], np.array([int(b.label or 0) for b in blocks])))
+    read = [blocks for page in pages or labelled_pages() if (blocks := leaf_blocks(page))]
+    seen = Counter(name for blocks in read for name in {n for b in blocks for words in b.named for n in words})
+    known = frozenset(name for name, n in seen.items() if n >= KNOWN_FROM)
+    chains = [(features(blocks, known), np.array([int(b.label or 0) for b in blocks])) for blocks in read]
     number: dict[str, int] = {}
     for rows, _ in chains:
         for row in rows:
@@ -191,6 +315,7 @@ def fit(pages: list[str] | None = None) -> Field:
         {f: (float(weights[k, 0]), float(weights[k, 1])) for f, k in number.items()},
         tuple(tuple(map(float, row)) for row in pair),
         tuple(map(float, first)),
+        known,
     )
 
 

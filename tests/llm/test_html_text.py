@@ -28,10 +28,66 @@ def test_broken_pages_do_not_crash(page, chain):
     assert isinstance(html_text.main_text(page, chain), str)
 
 
-def test_pages_of_the_layouts_that_were_not_trained_on(chain):
-    for page in html_text.labelled_pages(3, seed=99):
+def measured(chain, pages):
+    """Precision and recall of the blocks labelled main."""
+    hits = said = true = 0
+    for page in pages:
         blocks = leaf_blocks(page)
-        assert chain.decode(blocks) == [int(b.label) for b in blocks]
+        for found, block in zip(chain.decode(blocks), blocks, strict=True):
+            hits, said, true = hits + (found and block.label == "1"), said + found, true + (block.label == "1")
+    return hits / said, hits / true
+
+
+def test_pages_of_the_layouts_that_were_not_trained_on(chain, monkeypatch):
+    precision, recall = measured(chain, html_text.labelled_pages(6, seed=99))
+    assert precision > 0.97 and recall > 0.97
+    monkeypatch.setattr(html_text, "UNKNOWN", 0)  # all names as in the layouts
+    precision, recall = measured(chain, html_text.labelled_pages(6, seed=99))
+    assert precision > 0.985 and recall > 0.985
+
+
+#: None of these names and layouts is trained on.
+STRANGE = "promo disclaimer signup-form adsbygoogle replies toolbar skip-link gdpr ad-slot user-comments subscribeBox partner-offers".split()
+HELD_OUT = (
+    "<body data-label=0><article data-label=1><h1>{s}</h1><p>{l}</p><div class=NAME data-label=0><p>{l}</p></div><p>{l}</p></article></body>",
+    "<body data-label=0><article data-label=1><h1>{s}</h1><p>{l}</p><p>{m}</p></article><div class=NAME><p>{l}</p></div></body>",
+    "<body data-label=0><section class=NAME><p>{l}</p></section><main data-label=1><h1>{s}</h1><p>{m}</p><ol><li>{m}</li></ol><p>{l}</p></main></body>",
+    "<body data-label=0><div id=NAME>{m}</div><div class=chronicle data-label=1><h1>{s}</h1><p>{l}</p><p>{l}</p><h2>{s}</h2><p>{l}</p></div></body>",
+    "<body data-label=0><div><ul><li><a href=/>{s}</a></li></ul></div><main><article data-label=1><h2>{s}</h2><p>{l}</p><p>{m}</p>"
+    "<ul class=NAME data-label=0><li>{m}</li></ul></article><div class=NAME><p>{l}</p></div></main></body>",
+)
+
+
+def held_out_pages():
+    return [page for layout in HELD_OUT for name in STRANGE for page in html_text.labelled_pages(4, 5, (layout.replace("NAME", name),))]
+
+
+def test_layouts_and_names_that_the_field_has_never_seen(chain, monkeypatch):
+    monkeypatch.setattr(html_text, "UNKNOWN", 0)
+    precision, recall = measured(chain, held_out_pages())
+    assert precision > 0.95 and recall > 0.97
+
+
+@pytest.mark.parametrize("name", STRANGE)
+def test_noise_of_an_unknown_name_beside_and_inside_an_article(chain, name):
+    noise = f"<div class='{name}'><p>A long paragraph of words that goes on and on for quite a while, and is nothing of the article.</p></div>"
+    body = f"<h1>Head line</h1><p>{LONG}</p>{{}}<p>{LONG}</p>"
+    for page in (f"<article>{body.format(noise)}</article>", f"<article>{body.format('')}</article>{noise}", f"{noise}<main>{body.format('')}</main>"):
+        assert html_text.main_text(f"<body>{page}</body>", chain) == f"Head line\n{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize("page", ["<div>{}</div>", "<body><div>{}</div>", "<div><p>{}</p></div>", "{}", "<html><body><div id=x>{}</div></body></html>"])
+def test_a_page_of_one_block_is_its_text(chain, page):
+    for text in (LONG, "Hi", "Some words, no more"):
+        assert html_text.main_text(page.format(text), chain) == text
+
+
+def test_very_long_pages_are_read_whole(chain):
+    parts = [f"<p>Paragraph {k} has these words and some more of them.</p><div class=ad>Buy {k}</div>" for k in range(20_000)]
+    text = html_text.main_text(f"<body><nav><a href=/>Go</a></nav><article>{''.join(parts)}</article></body>", chain)
+    assert text.split("\n") == [f"Paragraph {k} has these words and some more of them." for k in range(20_000)]
+    long = "word " * 400_000
+    assert html_text.main_text(f"<article><p>{long}</p></article>", chain) == long.strip()
 
 
 FRAME = "<body><header><p>Top</p></header><nav><ul><li><a href=x>Go</a></li></ul></nav>{}<article><h1>Head line</h1><p>Short.</p>{}<p>{}</p>{}</article>{}<footer>Foot</footer></body>"
@@ -57,11 +113,12 @@ def test_noise_is_left_out_wherever_it_stands(chain, noise, place):
 
 def test_viterbi_finds_the_best_labelling(chain):
     blocks = leaf_blocks(html_text.labelled_pages(1)[0])
+    described = html_text.features(blocks, chain.known)
 
     def score(labels):
         total = chain.first[labels[0]]
-        for k, (block, y) in enumerate(zip(blocks, labels, strict=True)):
-            total += sum(chain.emission[f][y] for f in html_text.features(block) if f in chain.emission)
+        for k, y in enumerate(labels):
+            total += sum(chain.emission[f][y] for f in described[k] if f in chain.emission)
             total += chain.pair[labels[k - 1]][y] if k else 0
         return total
 
