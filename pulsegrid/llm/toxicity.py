@@ -6,9 +6,13 @@ widths 1, 2 and 3 run over the words of the whole text, each filter's largest re
 (max pooling), and a logistic layer gives the score. Every word of every text is read. A text
 without words, and a null one, has the share of toxic labels as its score.
 
-The classifier is fitted on the driver on a bounded sample of labelled rows: at most
-``Settings.toxic`` and ``Settings.clean`` of them, drawn by a hash of doc_id among those with a text of
-at most ``Settings.longest`` characters. An id gives one row, the least of several. A fifth of the sample is not trained on; thresholds for each
+The classifier is trained on every labelled row outside the held-out fold, however long its text. The rows
+are dealt to shards by doc_id. Each shard's task goes through its rows once in the order of a hash, from
+one common start, and what the tasks changed is averaged, weighted by their rows. A hashed row that
+too few texts of all shards touch is set to zero. A small table is gone through ``Settings.passes`` times. The start is fitted on the driver, on at most
+``Settings.toxic`` and ``Settings.clean`` rows with a text of at most ``Settings.longest`` characters, drawn
+by a hash of doc_id; there an id gives one row, the least of several. It only tells where the pass over
+all rows begins. A fifth of the ids is not trained on; all their rows are scored, and thresholds for each
 language are calibrated there, or for all languages together where one has too few rows.
 A document labelled toxic by any of its label rows counts as toxic; rows without a label are
 left out. Without labelled rows of both kinds, every score is the share of toxic labels.
@@ -28,16 +32,22 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.frames import only, text_fold
+from pulsegrid.llm.frames import only, tasks_for, text_fold
+from pulsegrid.llm.settings import shuffles_removed, small_batches
 from pulsegrid.llm.words import LETTERS, WordReader, Words, text_blocks
 from pulsegrid.sources.settle import settle
 
 FOLDS, HELD_OUT = 4, 2
 PREDICT_FROM = 0.3
 SCORES = "doc_id long, lang string, score double"
+#: The thresholds that calibration tries.
+CUTS = np.arange(1, 1000) / 1000
+#: Pieces in which the shards' changes are shuffled and summed.
+PIECES = 16
 
 
 @dataclass(frozen=True)
@@ -59,6 +69,11 @@ class Settings:
     #: Share of words left out of each training step.
     drop: float = 0.3
     most_epochs: int = 40
+    #: Labelled ids of a shard, and bytes of text that a training step reads, or one row that holds more.
+    shard: int = 8192
+    step_bytes: int = 1 << 20
+    #: Passes over all rows at most, where ``steps`` batches are more than one.
+    passes: int = 3
     #: Calibration rows of each kind that a language needs for a threshold of its own.
     own_threshold: int = 20
 
@@ -100,6 +115,21 @@ class Model:
             0.0,
         )
 
+    def tables(self) -> list[np.ndarray]:
+        """Everything that is trained but the shift, as views."""
+        filters = [part for w in self.settings.widths for part in (self.conv[w], self.bias[w])]
+        return [self.word, self.prefix, *filters, self.top]
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([*(table.ravel() for table in self.tables()), [self.shift]]).astype(float)
+
+    def add(self, change: np.ndarray) -> None:
+        at = 0
+        for table in self.tables():
+            table += change[at : at + table.size].reshape(table.shape).astype(np.float32)
+            at += table.size
+        self.shift += float(change[at])
+
     def responses(self, text: np.ndarray, embedded: np.ndarray) -> dict[int, np.ndarray]:
         """For each width, (words, filters): the filter's response with its first place on the word.
 
@@ -145,18 +175,33 @@ class Trainer:
         seen += gradient**2
         values -= self.model.settings.rate * gradient / np.sqrt(seen)
 
+    def texts_by_row(self, words: Words, word_at: np.ndarray, prefix_at: np.ndarray) -> dict[str, np.ndarray]:
+        """For each hashed row, the texts that touch it."""
+        s, found = self.model.settings, {}
+        for name, place, size in (("word", word_at, s.word_rows), ("prefix", prefix_at, s.prefix_rows)):
+            pair = np.unique(words.text.astype(np.int64) << 32 | place)
+            found[name] = np.bincount(pair & 0xFFFFFFFF, minlength=size)
+        return found
+
     def keep_frequent(self, reader: WordReader, texts: list[bytes], rows: np.ndarray) -> None:
         m, s = self.model, self.model.settings
         seen = {"word": np.zeros(s.word_rows, int), "prefix": np.zeros(s.prefix_rows, int)}
         for at in range(0, len(rows), 256):
-            words, *places = _words(reader, _take(texts, rows[at : at + 256]), s)
-            for name, place in zip(seen, places, strict=True):
-                pair = np.unique(words.text.astype(np.int64) << 32 | place)
-                seen[name] += np.bincount(pair & 0xFFFFFFFF, minlength=len(seen[name]))
+            for name, count in self.texts_by_row(*_words(reader, _take(texts, rows[at : at + 256]), s)).items():
+                seen[name] += count
         for name, table in (("word", m.word), ("prefix", m.prefix)):
             self._live[name] = seen[name] >= s.least_texts
             table[~self._live[name]] = 0
 
+    def all_live(self) -> None:
+        """Rows that were left at zero begin as new ones, and all steps as long as at first."""
+        new = Model.fresh(self.model.settings)
+        for name, table, fresh in (("word", self.model.word, new.word), ("prefix", self.model.prefix, new.prefix)):
+            if name in self._live:
+                table[~self._live[name]] = fresh[~self._live[name]]
+        self._live = {"word": np.ones(len(new.word), bool), "prefix": np.ones(len(new.prefix), bool)}
+        self._seen = {}
+
     def _row_step(self, name: str, table: np.ndarray, at: np.ndarray, gradient: np.ndarray) -> None:
         live = self._live[name][at]
         rows, back = np.unique(at[live], return_inverse=True)
@@ -208,17 +253,34 @@ def _take(texts: list[bytes], rows: np.ndarray) -> list[bytes]:
     return [texts[i] for i in rows]
 
 
-def fit(texts: list[bytes], toxic: np.ndarray, langs: list[str | None], keys: list, base_rate: float, s: Settings = Settings()) -> Model:
-    """The model for labelled texts. base_rate: the share of toxic rows among all labelled ones."""
+def _thinned(words: Words, places: list[np.ndarray], rng: np.random.Generator, s: Settings) -> tuple:
+    stay = rng.random(len(words.text)) >= s.drop
+    return Words(words.text[stay], words.hash[stay], words.prefix[stay], words.n_texts), *(place[stay] for place in places)
+
+
+def _odds(share: float) -> float:
+    share = min(max(share, 1e-4), 1 - 1e-4)
+    return math.log(share / (1 - share))
+
+
+def _for_calibration(key) -> bool:
+    return hashlib.md5(str(key).encode()).digest()[0] % 5 == 0
+
+
+def _flat_model(base_rate: float, s: Settings) -> Model:
+    """Gives every text the share of toxic labels."""
+    model = Model.fresh(s)
+    model.top[:], model.shift, model.base_rate = 0, _odds(base_rate), min(max(base_rate, 1e-4), 1 - 1e-4)
+    return model
+
+
+def _start(texts: list[bytes], toxic: np.ndarray, keys: list, base_rate: float, s: Settings) -> Trainer | None:
+    """The trainer after its steps on the given rows; None if those that are not for calibration are of one kind."""
     model, reader = Model.fresh(s), new_reader()
-    kept = np.array([hashlib.md5(str(k).encode()).digest()[0] % 5 == 0 for k in keys], bool)
-    train, rest = np.flatnonzero(~kept), np.flatnonzero(kept)
-    odds = lambda share: math.log(share / (1 - share))
-    base_rate = model.base_rate = min(max(base_rate, 1e-4), 1 - 1e-4)
+    train = np.flatnonzero(~np.array([_for_calibration(k) for k in keys], bool))
+    model.base_rate = min(max(base_rate, 1e-4), 1 - 1e-4)
     if not len(train) or len(set(toxic[train])) < 2:
-        model.top[:] = 0
-        model.shift = odds(base_rate)
-        return model
+        return None
     trainer, rng = Trainer(model), np.random.default_rng(s.seed)
     order = np.zeros(0, int)
     trainer.keep_frequent(reader, texts, train)
@@ -227,42 +289,53 @@ def fit(texts: list[bytes], toxic: np.ndarray, langs: list[str | None], keys: li
             order = np.concatenate([order, rng.permutation(train)])
         rows, order = order[: s.batch], order[s.batch :]
         words, *places = _words(reader, _take(texts, rows), s)
-        stay = rng.random(len(words.text)) >= s.drop
-        words = Words(words.text[stay], words.hash[stay], words.prefix[stay], words.n_texts)
-        trainer.step(words, places[0][stay], places[1][stay], toxic[rows])
+        trainer.step(*_thinned(words, places, rng, s), toxic[rows])
     # The sample holds more toxic rows than the corpus: give the bias the corpus's odds.
-    model.shift += odds(base_rate) - odds(min(max(float(toxic[train].mean()), 1e-4), 1 - 1e-4))
-    _calibrate(model, reader, texts, toxic, langs, rest, base_rate)
+    model.shift += _odds(base_rate) - _odds(float(toxic[train].mean()))
+    return trainer
+
+
+def fit(texts: list[bytes], toxic: np.ndarray, langs: list[str | None], keys: list, base_rate: float, s: Settings = Settings()) -> Model:
+    """The model for labelled texts that one machine holds. base_rate: the share of toxic rows among all labelled ones."""
+    trainer = _start(texts, toxic, keys, base_rate, s)
+    if trainer is None:
+        return _flat_model(base_rate, s)
+    model, reader = trainer.model, new_reader()
+    rows = np.flatnonzero(np.array([_for_calibration(k) for k in keys], bool))
+    scores = [model.scores(reader, _take(texts, rows[at : at + 64])) for at in range(0, len(rows), 64)]
+    bins = np.searchsorted(CUTS, np.concatenate([*scores, []]), side="right")
+    _calibrate(model, [(langs[i], at, 1, int(toxic[i])) for i, at in zip(rows, bins.tolist(), strict=True)], base_rate)
     return model
 
 
-def _calibrate(model: Model, reader: WordReader, texts, toxic, langs, rows: np.ndarray, base_rate: float) -> None:
-    if not len(rows):
+def _calibrate(model: Model, counts: list[tuple], base_rate: float | None = None) -> None:
+    """Sets the thresholds from (language, cuts that a score reaches, rows, toxic ones) of the calibration rows.
+
+    base_rate: the share of toxic rows where the given ones hold another.
+    """
+    by_lang: dict[str | None, np.ndarray] = {}
+    for lang, at, rows, toxic in counts:
+        by_lang.setdefault(lang or None, np.zeros((2, len(CUTS) + 1)))[:, at] += (rows - toxic, toxic)
+    if not by_lang:
         return
-    scores = np.concatenate([model.scores(reader, _take(texts, rows[at : at + 64])) for at in range(0, len(rows), 64)])
-    labels = toxic[rows] > 0
-    share = min(max(labels.mean(), 1e-4), 1 - 1e-4)
-    weights = np.where(labels, base_rate / share, (1 - base_rate) / (1 - share))
+    everywhere = sum(by_lang.values())
+    clean, bad = everywhere.sum(axis=1)
+    share = min(max(bad / (clean + bad), 1e-4), 1 - 1e-4)
+    clean_weight, weight = (1, 1) if base_rate is None else ((1 - base_rate) / (1 - share), base_rate / share)
 
     def best(part: np.ndarray) -> float | None:
-        y, p, w = labels[part], scores[part], weights[part]
-        if min(y.sum(), (~y).sum()) < model.settings.own_threshold:
+        if part.sum(axis=1).min() < model.settings.own_threshold:
             return None
-        cuts = np.unique(np.concatenate([p, [PREDICT_FROM]]))
-        cuts = np.unique(np.quantile(cuts, np.linspace(0, 1, 200)))
-        middle = np.unique(np.concatenate([(cuts[1:] + cuts[:-1]) / 2, [PREDICT_FROM]]))
-        hit = np.array([(w * y * (p >= c)).sum() for c in middle])
-        said = np.array([(w * (p >= c)).sum() for c in middle])
-        f1 = 2 * hit / (said + (w * y).sum())
+        above = part[:, ::-1].cumsum(axis=1)[:, ::-1][:, 1:]  # rows that reach each cut
+        hit = weight * above[1]
+        f1 = 2 * hit / (hit + clean_weight * above[0] + weight * part[1].sum())
         top = np.flatnonzero(f1 >= f1.max() - 1e-12)  # of equals, the one nearest to the general threshold
-        return float(middle[top[np.abs(middle[top] - PREDICT_FROM).argmin()]])
-
-    everywhere = best(np.ones(len(rows), bool))
-    if everywhere is not None:
-        model.threshold = everywhere
-    spoken = np.array([langs[i] or "" for i in rows])
-    for lang in sorted(set(spoken) - {""}):
-        if (own := best(spoken == lang)) is not None:
+        return float(CUTS[top[np.abs(CUTS[top] - PREDICT_FROM).argmin()]])
+
+    if (found := best(everywhere)) is not None:
+        model.threshold = found
+    for lang in sorted(set(by_lang) - {None}):
+        if (own := best(by_lang[lang])) is not None:
             model.thresholds[str(lang)] = own
 
 
@@ -280,22 +353,120 @@ def _sample(docs: DataFrame, known: DataFrame, s: Settings) -> DataFrame:
     return least.select("doc_id", "toxic", "least.*")
 
 
-def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
-    """Fits on the labelled rows outside the held-out fold. Only the drawn rows' texts reach the driver."""
+def _labelled(labels: DataFrame) -> DataFrame:
+    """doc_id and toxic of the labelled ids outside the held-out fold."""
     known = only(labels, ("doc_id", "toxic"), "labels").where("doc_id is not null and toxic is not null")
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    known = known.where(text_fold(F.col("doc_id"), FOLDS) != HELD_OUT)
+    return known.where(text_fold(F.col("doc_id"), FOLDS) != HELD_OUT)
+
+
+def _calibrates() -> Column:
+    """_for_calibration of doc_id."""
+    return F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 2), 16, 10).cast("int") % 5 == 0
+
+
+def _changes(docs: DataFrame, known: DataFrame, trainer: Trainer, shards: int, number: int) -> DataFrame:
+    """piece, shard and values of what each shard's pass over its training rows changes.
+
+    values are the change times the shard's rows, the texts by hashed row, the rows and the toxic ones, end to
+    end. Both sides are dealt by doc_id, so a text is shuffled once; a task reads it as a stream.
+    """
+    parts = [known.where(~_calibrates()), only(docs, ("doc_id", "text"), "documents").where(~_calibrates() & (text_fold(F.col("doc_id"), FOLDS) != HELD_OUT))]
+    known, texts = [part.repartition(shards, "doc_id") for part in parts]
+    rows = texts.join(known, "doc_id").select("text", "toxic", F.xxhash64("doc_id", "text").alias("place"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, s, shard, reader = trainer.model, trainer.model.settings, TaskContext.get().partitionId(), new_reader()
+        before, rng = m.flat(), np.random.default_rng((s.seed, number, shard))
+        seen, rows, bad = {"word": np.zeros(s.word_rows), "prefix": np.zeros(s.prefix_rows)}, 0, 0.0
+        for batch in batches:
+            toxic = batch.column("toxic").to_numpy().astype(np.float32)
+            for at in range(0, batch.num_rows, s.batch):
+                for inner, texts in text_blocks(batch.column("text").slice(at, s.batch), s.step_bytes):
+                    here = toxic[at + inner : at + inner + len(texts)]
+                    words, *places = _words(reader, texts, s)
+                    for name, count in trainer.texts_by_row(words, *places).items():
+                        seen[name] += count
+                    trainer.step(*_thinned(words, places, rng, s), here)
+                    rows, bad = rows + len(texts), bad + float(here.sum())
+        if rows:
+            values = np.concatenate([(m.flat() - before) * rows, seen["word"], seen["prefix"], [rows, bad]])
+            for piece, part in enumerate(np.array_split(values, PIECES)):
+                yield pa.RecordBatch.from_pydict({"piece": pa.array([piece], pa.int32()), "shard": pa.array([shard], pa.int32()), "values": [part.astype("<f8").tobytes()]})
+
+    return rows.sortWithinPartitions("place").select("text", "toxic").mapInArrow(run, "piece int, shard int, values binary")
+
+
+def _summed(changes: DataFrame) -> DataFrame:
+    """piece and the sum of the shards' values, added in the order of the shards."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, total = None, np.zeros(0)
+        row = lambda: pa.RecordBatch.from_pydict({"piece": pa.array([current], pa.int32()), "values": [total.tobytes()]})
+        for batch in batches:
+            for piece, blob in zip(batch.column("piece").to_pylist(), batch.column("values"), strict=True):
+                values = np.frombuffer(blob.as_buffer(), "<f8")
+                if piece == current:
+                    total += values
+                    continue
+                if current is not None:
+                    yield row()
+                current, total = piece, values.copy()
+        if current is not None:
+            yield row()
+
+    dealt = changes.repartition("piece").sortWithinPartitions("piece", "shard").select("piece", "values")
+    return dealt.mapInArrow(run, "piece int, values binary")
+
+
+def _pass(docs: DataFrame, known: DataFrame, trainer: Trainer, shards: int, number: int) -> bool:
+    """Takes the trainer's model through all training rows. False if they are of one kind."""
+    m, s = trainer.model, trainer.model.settings
+    trainer.all_live()
+    with small_batches(docs.sparkSession), shuffles_removed(docs.sparkSession):
+        found = _summed(_changes(docs, known, trainer, shards, number)).collect()  # as many numbers as the model has
+    if not found:
+        return False
+    values = np.concatenate([np.frombuffer(r["values"]) for r in sorted(found, key=lambda r: r.piece)])
+    rows, toxic = values[-2:]
+    m.add(values[: -2 - s.word_rows - s.prefix_rows] / rows)
+    m.prefix[values[-2 - s.prefix_rows : -2] < s.least_texts] = 0
+    m.word[values[-2 - s.word_rows - s.prefix_rows : -2 - s.prefix_rows] < s.least_texts] = 0
+    return 0 < toxic < rows
+
+
+def _calibration_counts(docs: DataFrame, known: DataFrame, model: Model) -> list[tuple]:
+    """(language, cuts that a score reaches, rows, toxic ones) of all calibration rows, a thousand for each language at most."""
+    chosen = docs.where(_calibrates() & (text_fold(F.col("doc_id"), FOLDS) != HELD_OUT))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cuts = pa.array(np.searchsorted(CUTS, batch.column("score").to_numpy(), side="right").astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), cuts], ["doc_id", "lang", "cuts"])
+
+    reached = score(chosen, model).mapInArrow(run, "doc_id long, lang string, cuts int").join(known, "doc_id")
+    return [tuple(r) for r in reached.groupBy("lang", "cuts").agg(F.count("*"), F.sum("toxic")).collect()]
+
+
+def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
+    """Trains and calibrates on all labelled rows outside the held-out fold. Only the start's texts reach the driver."""
+    known = settle(_labelled(labels))
     total = known.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    base_rate = total[1] / total[0] if total[0] else 0.0
+    if not 0 < base_rate < 1:
+        return _flat_model(base_rate, s)
     rows = _sample(docs, known, s).collect()
     rows.sort(key=lambda r: (hashlib.md5(str(r.doc_id).encode()).digest(), r.text))
-    return fit(
-        [r.text.encode() for r in rows],
-        np.array([r.toxic for r in rows], np.float32),
-        [r.lang for r in rows],
-        [r.doc_id for r in rows],
-        total[1] / total[0] if total[0] else 0.0,
-        s,
-    )
+    toxic = np.array([r.toxic for r in rows], np.float32)
+    trainer = _start([r.text.encode() for r in rows], toxic, [r.doc_id for r in rows], base_rate, s)
+    if trainer is None:
+        trainer = Trainer(Model.fresh(s))
+        trainer.model.shift, trainer.model.base_rate = _odds(base_rate), min(max(base_rate, 1e-4), 1 - 1e-4)
+    for number in range(min(s.passes, -(-s.steps * s.batch // total[0]))):
+        if not _pass(docs, known, trainer, tasks_for(total[0], s.shard, 1), number):
+            return _flat_model(base_rate, s)
+    _calibrate(trainer.model, _calibration_counts(docs, known, trainer.model))
+    return trainer.model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -132,3 +132,31 @@ def test_without_labels_the_score_is_the_share(spark, tables):
     assert t.judge(docs.limit(0), labels).collect() == []
     null = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, toxic int")
     assert t.judge(docs, null).where("score > 0.3").count() == 0
+
+
+def test_rows_beyond_the_start_are_learned(spark, tables):
+    """A word of long texts, which the start leaves out, tells toxic rows; all rows calibrate, in any order of the table."""
+    given, docs, labels = tables
+    rng = random.Random(3)
+    common = sorted({w for g in given if not g[3] for w in g[1].split()})
+    long = [(10_000 + k, " ".join(rng.choices(common, k=200) + ["zorkle"] * (k % 2)), "en", k % 2) for k in range(240)]
+    s = t.Settings(longest=800)
+    assert min(len(g[1]) for g in long) > s.longest >= max(len(g[1]) for g in given)
+    docs = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame([g[:3] for g in long], "doc_id long, text string, lang string"))
+    labels = labels.select("doc_id", "toxic").unionByName(spark.createDataFrame([(g[0], g[3]) for g in long], "doc_id long, toxic int"))
+    found = {r.doc_id: r.score for r in t.judge(docs, labels, s).collect()}
+    bad, good = [[found[g[0]] for g in long if g[3] == kind] for kind in (1, 0)]
+    assert np.mean(bad) > np.mean(good) + 0.1
+    s = t.Settings(longest=800, shard=400, passes=1)
+    model, other = t.train(docs, labels, s), t.train(docs.repartition(7), labels.repartition(3), s)
+    assert (model.flat() == other.flat()).all() and model.thresholds == other.thresholds
+    held = [i for i, *_ in given + long if t._for_calibration(i) and zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sum(n for _, _, n, _ in t._calibration_counts(docs, t._labelled(labels), model)) == len(held)
+
+
+def test_texts_that_are_all_too_long_for_the_start(spark, tables):
+    given, docs, labels = tables
+    s = t.Settings(longest=1, batch=8)
+    found = {r.doc_id: r.score for r in t.judge(docs, labels, s).collect()}
+    bad, good = [[found[g[0]] for g in given if g[3] == kind] for kind in (1, 0)]
+    assert np.mean(bad) > np.mean(good) + 0.2
