@@ -194,13 +194,12 @@ class Trainer:
             table[~self._live[name]] = 0
 
     def all_live(self) -> None:
-        """Rows that were left at zero begin as new ones, and all steps as long as at first."""
+        """Rows that were left at zero begin as new ones."""
         new = Model.fresh(self.model.settings)
         for name, table, fresh in (("word", self.model.word, new.word), ("prefix", self.model.prefix, new.prefix)):
             if name in self._live:
                 table[~self._live[name]] = fresh[~self._live[name]]
         self._live = {"word": np.ones(len(new.word), bool), "prefix": np.ones(len(new.prefix), bool)}
-        self._seen = {}
 
     def _row_step(self, name: str, table: np.ndarray, at: np.ndarray, gradient: np.ndarray) -> None:
         live = self._live[name][at]
