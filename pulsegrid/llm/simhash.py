@@ -11,14 +11,19 @@ Documents are linked if their fingerprints differ in at most ``2 * HALF`` bits.
    differ in at most 2 * HALF bits have a variant in common, halfway between them, and two that
    have one differ in no more than that. So nothing is missed and nothing has to be guessed.
 3. **Shuffle on variants.** A variant's hash names its bucket. Tasks group their variants by
-   bucket into blobs of (fingerprint, number of the flip mask), ten bytes each, so that the
-   shuffle moves a few thousand blobs and not billions of rows. The number of buckets grows with
-   the number of fingerprints, so a bucket keeps its size. Buckets are taken in ``PASSES``
-   passes, which bounds the disk that their shuffle holds at a time.
+   bucket into blobs of (fingerprint, number of the flip mask, label), eighteen bytes each, so that
+   the shuffle moves a few thousand blobs and not billions of rows. The number of buckets grows with
+   the number of fingerprints, so a bucket keeps its size. Buckets are taken in passes, of which none
+   holds more than one in ``PASSES``, which bounds the disk that their shuffle holds at a time.
 4. **Deduplicate, verify.** A task rebuilds a bucket's variants and sorts them. The fingerprints
-   of one variant lie in one ball and are all linked, so they form a star around the least one:
-   a link less than members, not all pairs. Repeated links of a task are dropped, the others
+   of one variant lie in one ball and are all linked, so they form a star around the least label:
+   a link less than labels, not all pairs. Repeated links of a task are dropped, the others
    are verified by their distance and give components.
+5. **Contract.** A label is the least fingerprint of the component that the passes before have
+   found. Links join labels, so fingerprints that are known to be connected make no link any more.
+   The first pass takes few buckets, each of the next about four times as many as all before it:
+   what is dense comes together there, from few links, before the many buckets are read. Every
+   variant of every fingerprint is still looked at, and every link between two labels is kept.
 
 Null and empty texts, and texts without words, have fingerprint zero and are linked like any other.
 Long texts are read in pieces. Rows with the same doc_id are one node, through which the classes
@@ -45,11 +50,13 @@ from pulsegrid.sources.settle import settle
 WORDS = 4
 SEED = 42
 HALF = 2
-PASSES = 4
+#: The last passes hold one in PASSES of the buckets each; the first of them is divided, from 1 / EARLY on.
+PASSES, EARLY = 4, 64
 #: (fingerprint, mask) pairs that a bucket holds on average at most, and buckets there are at least.
 BUCKET, LEAST_BITS = 1 << 18, 10
 #: Variants that a task makes at once, and pairs that it holds until they are written out as blobs.
-CHUNK, HELD = 1 << 21, 1 << 22
+CHUNK, HELD = 1 << 21, 1 << 21
+PAIR = 18  # bytes of a pair in a blob
 PIECE = 1 << 20  # bytes of a text that are split at once
 LINKS = 1 << 20
 CLASSES_PER_TASK = 100_000
@@ -136,31 +143,41 @@ def _buckets(variants: np.ndarray, bits: int) -> np.ndarray:
     return ((variants * _SPREAD) >> np.uint64(64 - bits)).astype(np.uint32 if bits > 16 else np.uint16)
 
 
-def variants_by_bucket(classes: DataFrame, bits: int, number: int, passes: int = PASSES, half: int = HALF) -> DataFrame:
-    """bucket and pairs (fingerprints, then 16-bit numbers of masks) of the pass's buckets."""
+def pass_bounds(passes: int = PASSES) -> list[int]:
+    """Where the passes begin and end in ``EARLY * passes`` equal parts of the buckets: 0, 1, 4, 16, then steps of ``EARLY``."""
+    early = [4**k for k in range(EARLY.bit_length() // 2)]
+    return [0, *early, *range(EARLY, EARLY * passes + 1, EARLY)]
+
+
+def variants_by_bucket(classes: DataFrame, bits: int, first: int, last: int, parts: int, half: int = HALF) -> DataFrame:
+    """bucket and pairs (fingerprints, labels, then 16-bit numbers of masks) of the buckets from part first to before last.
+
+    classes: fp and label. A label is kept as its difference from the fingerprint, mostly zeros, which the shuffle packs well.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks, held, n = flip_masks(half), [], 0
         step = max(1, CHUNK // len(masks))
 
         def flush() -> Iterator[pa.RecordBatch]:
-            bucket, fp, mask = (np.concatenate(x) for x in zip(*held, strict=True))
+            bucket, fp, label, mask = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.argsort(bucket, kind="stable")
-            bucket, fp, mask = bucket[order], fp[order].astype("<u8"), mask[order].astype("<u2")
+            bucket, fp, label, mask = bucket[order], fp[order].astype("<u8"), label[order].astype("<u8"), mask[order].astype("<u2")
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
             for at in range(0, len(cuts) - 1, 1024):
                 ends = cuts[at : at + 1025]
-                blobs = [fp[a:b].tobytes() + mask[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                blobs = [fp[a:b].tobytes() + label[a:b].tobytes() + mask[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[ends[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "pairs"])
 
         for batch in batches:
-            all_fps = batch.column("fp").to_numpy().view(np.uint64)
+            all_fps, labels = (batch.column(c).to_numpy().view(np.uint64) for c in ("fp", "label"))
             for at in range(0, len(all_fps), step):
-                fps = all_fps[at : at + step]
+                fps, apart = all_fps[at : at + step], labels[at : at + step] ^ all_fps[at : at + step]
                 bucket = _buckets(fps[:, None] ^ masks[None, :], bits)
-                found = np.flatnonzero(bucket.ravel() % passes == number)
+                part = bucket.ravel() % parts
+                found = np.flatnonzero((part >= first) & (part < last))
                 row = found // len(masks)
-                held.append((bucket.ravel()[found], fps[row], (found - row * len(masks)).astype(np.uint16)))
+                held.append((bucket.ravel()[found], fps[row], apart[row], (found - row * len(masks)).astype(np.uint16)))
                 n += len(row)
                 if n >= HELD:
                     yield from flush()
@@ -168,43 +185,49 @@ def variants_by_bucket(classes: DataFrame, bits: int, number: int, passes: int =
         if n:
             yield from flush()
 
-    return classes.select("fp").mapInArrow(run, "bucket int, pairs binary")
+    return classes.select("fp", "label").mapInArrow(run, "bucket int, pairs binary")
+
 
+def ball_links(fps: np.ndarray, masks: np.ndarray, labels: np.ndarray | None = None, most: int = 2 * HALF) -> np.ndarray:
+    """Links (n x 2) between the labels whose fingerprints share a variant, a star for each variant.
 
-def ball_links(fps: np.ndarray, masks: np.ndarray) -> np.ndarray:
-    """Links (n x 2) between the fingerprints that share a variant, a star for each variant."""
-    variants = fps ^ masks
+    Without labels, every fingerprint is its own. ``most``: the distance up to which fingerprints are linked.
+    """
+    variants, labels = fps ^ masks, fps if labels is None else labels
     ordered = np.sort(variants)
     shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
     if not len(shared):
         return np.zeros((0, 2), np.uint64)
     inside = shared[np.minimum(np.searchsorted(shared, variants), len(shared) - 1)] == variants
-    variants, fps = variants[inside], fps[inside]
-    order = np.lexsort((fps, variants))
-    variants, fps = variants[order], fps[order]
+    variants, fps, labels = variants[inside], fps[inside], labels[inside]
+    order = np.lexsort((fps, labels, variants))
+    variants, fps, labels = variants[order], fps[order], labels[order]
     first = np.concatenate([[True], variants[1:] != variants[:-1]])
-    head = fps[np.flatnonzero(first)][np.cumsum(first) - 1]
-    links = np.stack([head, fps], 1)[~first & (head != fps)]
+    head = np.flatnonzero(first)[np.cumsum(first) - 1]
+    apart = (labels[head] != labels) & (np.bitwise_count(fps[head] ^ fps) <= most)
+    links = np.stack([labels[head], labels], 1)[apart]
     return np.unique(links, axis=0) if len(links) else links
 
 
 def links(blobs: DataFrame, half: int = HALF) -> DataFrame:
-    """Links (a, b) of a pass; the blobs of a bucket follow each other in a sorted partition."""
+    """Links (a, b) between labels of a pass; the blobs of a bucket follow each other in a sorted partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks, current = flip_masks(half), None
         fps: list[np.ndarray] = []
+        labels: list[np.ndarray] = []
         numbers: list[np.ndarray] = []
         held: list[np.ndarray] = []
         n = 0
 
         def bucket_done() -> None:
             nonlocal n
-            found = ball_links(np.concatenate(fps), masks[np.concatenate(numbers)])
-            fps.clear()
-            numbers.clear()
+            whole = np.concatenate(fps)
+            found = ball_links(whole, masks[np.concatenate(numbers)], whole ^ np.concatenate(labels), 2 * half)
+            for part in (fps, labels, numbers):
+                part.clear()
             if len(found):
-                held.append(found[np.bitwise_count(found[:, 0] ^ found[:, 1]) <= 2 * half])
+                held.append(found)
                 n += len(found)
 
         def flush() -> pa.RecordBatch:
@@ -219,9 +242,10 @@ def links(blobs: DataFrame, half: int = HALF) -> DataFrame:
                         yield flush()
                         held, n = [], 0
                 current, data = bucket, blob.as_buffer()
-                k = len(data) // 10
+                k = len(data) // PAIR
                 fps.append(np.frombuffer(data, "<u8", k).copy())
-                numbers.append(np.frombuffer(data, "<u2", k, 8 * k).astype(np.int64))
+                labels.append(np.frombuffer(data, "<u8", k, 8 * k).copy())
+                numbers.append(np.frombuffer(data, "<u2", k, 16 * k).copy())
         if fps:
             bucket_done()
         yield flush()
@@ -233,14 +257,22 @@ def linked_classes(classes: DataFrame, half: int = HALF, passes: int = PASSES) -
     """node and label of the fingerprints (a stored frame with the column fp) that have a link."""
     spark = classes.sparkSession
     n = classes.count()
-    bits, tasks = bucket_bits(n, half), tasks_for(n, CLASSES_PER_TASK, 1)
-    classes, found = settle(classes.select("fp").repartition(tasks_for(n, BALLS_PER_TASK))), None
-    for number in range(passes):
+    bits, tasks, balls = bucket_bits(n, half), tasks_for(n, CLASSES_PER_TASK, 1), tasks_for(n, BALLS_PER_TASK)
+    classes = settle(classes.select("fp").repartition(balls))
+    labelled, found, labels, bounds = classes.withColumn("label", F.col("fp")), None, None, pass_bounds(passes)
+    for first, last in zip(bounds[:-1], bounds[1:], strict=True):
         with shuffles_removed(spark):
-            blobs = variants_by_bucket(classes, bits, number, passes, half).repartition("bucket").sortWithinPartitions("bucket")
+            blobs = variants_by_bucket(labelled, bits, first, last, bounds[-1], half).repartition("bucket").sortWithinPartitions("bucket")
             part = settle_few(links(blobs, half).distinct(), tasks)
+        if part.isEmpty() and labels is not None:
+            continue
         found = part if found is None else found.unionByName(part)
-    return components(found.distinct())
+        labels = components(found.distinct())
+        if last < bounds[-1]:
+            labels = settle_few(labels, tasks)
+            known = classes.join(labels, classes["fp"] == labels["node"], "left").select("fp", F.coalesce("label", "fp").alias("label"))
+            labelled = settle(known.repartition(balls))
+    return labels
 
 
 def near_duplicates(docs: DataFrame, half: int = HALF, passes: int = PASSES) -> DataFrame:

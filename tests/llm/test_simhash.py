@@ -124,3 +124,21 @@ def test_many_copies_are_one_class(spark):
 
 def test_an_empty_table(spark):
     assert found(spark, []) == []
+
+
+def test_a_dense_cluster_makes_few_links(spark, monkeypatch):
+    rng, made, links = random.Random(9), [], s.links
+
+    def counted(*args):
+        out = s.settle(links(*args))
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(s, "links", counted)
+    flip = lambda x, k: x ^ sum(1 << b for b in rng.sample(range(64), k))
+    centre = rng.getrandbits(64)
+    values = {flip(centre, rng.randint(0, 3)) for _ in range(1200)}
+    signed = np.array(sorted(values), np.uint64).view(np.int64).tolist()
+    labels = s.linked_classes(s.settle(spark.createDataFrame([(v,) for v in signed], "fp long")))
+    assert {tuple(r) for r in labels.collect()} == {(v, min(signed)) for v in signed}
+    assert sum(made) < 15 * len(values), made
