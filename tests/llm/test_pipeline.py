@@ -70,3 +70,12 @@ def test_the_stage_takes_copies_from_a_jaccard_index_of_80_percent_on(spark, tmp
 
 def test_every_operator_has_a_query():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
+
+
+def test_no_stage_sends_large_batches(spark, tmp_path):
+    """The driver writes what a stage returns, by its own settings: by then it must be stored."""
+    build(spark, str(tmp_path))
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+        assert "MapInArrow" not in docs._jdf.queryExecution().executedPlan().toString(), name
