@@ -149,12 +149,15 @@ def pass_bounds(passes: int = PASSES) -> list[int]:
     return [0, *early, *range(EARLY, EARLY * passes + 1, EARLY)]
 
 
-def variants_by_bucket(classes: DataFrame, bits: int, first: int, last: int, parts: int, half: int = HALF) -> DataFrame:
-    """bucket and pairs (fingerprints, labels, then 16-bit numbers of masks) of the buckets from part first to before last.
+def variants_by_bucket(classes: DataFrame, bits: int, number: int, passes: int = PASSES, half: int = HALF) -> DataFrame:
+    """bucket and pairs (fingerprints, labels, then 16-bit numbers of masks) of the buckets of pass number of ``pass_bounds``.
 
-    classes: fp and label. A label is kept as its difference from the fingerprint, mostly zeros, which the shuffle packs well.
+    classes: fp, and label where components are known. A label is kept as its difference from the fingerprint, mostly zeros, which the shuffle packs well.
     """
 
+    bounds = pass_bounds(passes)
+    first, last, parts = bounds[number], bounds[number + 1], bounds[-1]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks, held, n = flip_masks(half), [], 0
         step = max(1, CHUNK // len(masks))
@@ -185,7 +188,8 @@ def variants_by_bucket(classes: DataFrame, bits: int, first: int, last: int, par
         if n:
             yield from flush()
 
-    return classes.select("fp", "label").mapInArrow(run, "bucket int, pairs binary")
+    label = F.col("label") if "label" in classes.columns else F.col("fp")
+    return classes.select("fp", label.alias("label")).mapInArrow(run, "bucket int, pairs binary")
 
 
 def ball_links(fps: np.ndarray, masks: np.ndarray, labels: np.ndarray | None = None, most: int = 2 * HALF) -> np.ndarray:
@@ -259,16 +263,16 @@ def linked_classes(classes: DataFrame, half: int = HALF, passes: int = PASSES) -
     n = classes.count()
     bits, tasks, balls = bucket_bits(n, half), tasks_for(n, CLASSES_PER_TASK, 1), tasks_for(n, BALLS_PER_TASK)
     classes = settle(classes.select("fp").repartition(balls))
-    labelled, found, labels, bounds = classes.withColumn("label", F.col("fp")), None, None, pass_bounds(passes)
-    for first, last in zip(bounds[:-1], bounds[1:], strict=True):
+    labelled, found, labels, count = classes, None, None, len(pass_bounds(passes)) - 1
+    for number in range(count):
         with shuffles_removed(spark):
-            blobs = variants_by_bucket(labelled, bits, first, last, bounds[-1], half).repartition("bucket").sortWithinPartitions("bucket")
+            blobs = variants_by_bucket(labelled, bits, number, passes, half).repartition("bucket").sortWithinPartitions("bucket")
             part = settle_few(links(blobs, half).distinct(), tasks)
         if part.isEmpty() and labels is not None:
             continue
         found = part if found is None else found.unionByName(part)
         labels = components(found.distinct())
-        if last < bounds[-1]:
+        if number + 1 < count:
             labels = settle_few(labels, tasks)
             known = classes.join(labels, classes["fp"] == labels["node"], "left").select("fp", F.coalesce("label", "fp").alias("label"))
             labelled = settle(known.repartition(balls))
