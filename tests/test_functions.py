@@ -17,6 +17,12 @@ def test_number(spark):
     assert evaluate(spark, ["inf", "-Infinity", "infinit"], text.number) == [float("inf"), float("-inf"), None]
 
 
+def test_whole_numbers_are_told_by_their_size(spark):
+    cells = ["5", "00", "10", "999", "9999", "12345", "+5", "5 ", " 12", "10.", "10\x01", "1 2", "007", "99999999999999999999", "\u0663"]
+    expected = [5, 0, 10, 999, 9999, 12345, 5, 5, 12, 10, None, None, 7, 1e20, None]
+    assert evaluate(spark, cells, text.number) == expected
+
+
 def test_null_texts(spark):
     cells = ["NA", "", "null", "#N/A", "x", " NA", None]
     assert evaluate(spark, cells, text.null_texts) == [None, None, None, None, "x", " NA", None]

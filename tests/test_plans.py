@@ -295,3 +295,10 @@ def test_jobs_of_two_threads_keep_their_own_folders(spark):
     for thread in threads:
         thread.join()
     assert len(found[0]) == len(found[1]) == 1 and found[0] != found[1]
+
+
+def test_texts_of_a_day_are_made_once(spark, capsys):
+    workload.dense(spark, SF).explain(True)
+    optimized = capsys.readouterr().out.split("Optimized Logical Plan")[1].split("Physical Plan")[0]
+    minute = optimized.index("posexplode(")
+    assert "lpad(" not in optimized[:minute] and "lpad(" in optimized[minute:]
