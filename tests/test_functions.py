@@ -23,6 +23,21 @@ def test_whole_numbers_are_told_by_their_size(spark):
     assert evaluate(spark, cells, text.number) == expected
 
 
+def test_usual_times_are_read_without_a_pattern(spark):
+    cells = ["00:00:00", "09:05:07", "23:59:59", "24:00:00", "10:60:00", "10:00:60", "1:234:56", "12:34:5.", "12:34:5 ", "0+:34:56",
+             "+1:05:07", "12:3.:00", "1.:05:00", "09:5\x01:00", "12:3456:", "1:2:3", "ab:cd:ef", "12:00:00:00", None]
+    expected = [0, 545, 1439, None, None, None, None, None, 754, None, None, None, None, None, None, 62, None, None, None]
+    assert evaluate(spark, cells, lambda c: clock.minute_of_day(c, short=True)) == expected
+    sql = spark.range(1).select(F.lit("x").alias("cell")).select(clock.minute_of_day(F.col("cell")).alias("v"))
+    assert sql._jdf.queryExecution().analyzed().toString().count("RLIKE") == 0
+
+
+def test_full_time_of_odd_cells(spark):
+    cells = ["09:05:07", "9:5", " 9:5", "1:2:3", "12:00:00:00", "a:b", "12:00 ", "1:2:3x", "", None]
+    expected = ["09:05:07", "9:5:00", "9:5:00", "1:2:3", "12:00:00:00", "a:b:00", "12:00:00", "1:2:3x", "", None]
+    assert evaluate(spark, cells, clock.full_time) == expected
+
+
 def test_null_texts(spark):
     cells = ["NA", "", "null", "#N/A", "x", " NA", None]
     assert evaluate(spark, cells, text.null_texts) == [None, None, None, None, "x", " NA", None]
