@@ -166,8 +166,16 @@ def _observed(i: _Inputs) -> DataFrame:
     return settle(facts.observed_days(i.sparse_clean))
 
 
-def _hr_keys(i: _Inputs) -> DataFrame:
-    return i.dense_days.withColumns({c: F.col(c).cast("string") for c in ("day_index", "is_valid_day")})
+def _hr_keys(daily: DataFrame) -> DataFrame:
+    return daily.withColumns({c: F.col(c).cast("string") for c in ("day_index", "is_valid_day")})
+
+
+def _dense_hr(i: _Inputs) -> steps.DailyReadings:
+    """Valid days and heart-rate statistics of the dense minutes, which are read once for both."""
+    cleaned = i.dense_clean
+    by_day = steps.wear_and_readings(cleaned)
+    daily = settle(steps.find_valid_days(cleaned, by_day=by_day).daily)
+    return steps.daily_heart_rate(_hr_keys(daily), cleaned, by_day=by_day)
 
 
 def _outlier_summary(i: _Inputs) -> DataFrame:
@@ -232,13 +240,13 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
         steps.find_valid_participants(i.sparse_days, SPARSE_RUN).counts, "pass_percent", "mean_run_len"
     ),
     # Heart-rate statistics
-    "valid_day_keys": lambda i: valid_day_keys(_hr_keys(i)),
+    "valid_day_keys": lambda i: valid_day_keys(_hr_keys(i.dense_days)),
     "worn_readings": lambda i: worn_readings(i.sparse),
     "readings_on_valid_days": lambda i: readings.rows_on_days(
         worn_readings(i.sparse_clean), valid_day_keys(i.sparse_days)
     ),
-    "daily_hr_stats": lambda i: steps.daily_heart_rate(_hr_keys(i), i.dense_clean).daily,
-    "hr_stats_summary": lambda i: steps.daily_heart_rate(_hr_keys(i), i.dense_clean).summary,
+    "daily_hr_stats": lambda i: _dense_hr(i).daily,
+    "hr_stats_summary": lambda i: _dense_hr(i).summary,
     # Daily metrics
     "metric_keys": lambda i: metric_keys(i.daily("keys")),
     "collapse_mean": lambda i: metrics.daily_metrics(i.daily("activity"), ACTIVITY_METRICS),

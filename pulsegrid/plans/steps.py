@@ -112,10 +112,25 @@ def remove_outliers(deduped: DataFrame, cfg: Outliers = Outliers(), store: Store
     return Cleaned(stored, deduped.sparkSession.createDataFrame([tuple(counts.get(c, 0) for c in empty.columns)], empty.schema))
 
 
-def find_valid_days(cleaned: DataFrame, cfg: ValidDays = ValidDays()) -> Adherence:
-    """Wear per day over the full grid. ``cleaned`` needs ``src_order``: a day's date is its first label."""
+def wear_and_readings(cleaned: DataFrame, cfg: ValidDays = ValidDays()) -> DataFrame:
+    """The daily facts that find_valid_days and daily_heart_rate make from the minutes, in one pass, settled."""
     require_columns(cleaned, [*MINUTE_COLUMNS, SRC_ORDER], "minute table")
-    observed = settle(facts.observed_days(cleaned, short=cfg.normalize_time))
+    by_day = facts.day_facts(cleaned, short=cfg.normalize_time)
+    wear, heart = ("date", "timed_rows", "worn_minutes"), ("hr_n", "hr_total", "hr_max", "hr_min")
+    return settle(by_day.select("subject_id", "day_index", *wear, *heart))
+
+
+def find_valid_days(cleaned: DataFrame, cfg: ValidDays = ValidDays(), by_day: DataFrame | None = None) -> Adherence:
+    """Wear per day over the full grid. ``cleaned`` needs ``src_order``: a day's date is its first label.
+
+    ``by_day`` is the result of wear_and_readings of the same minutes and settings, where it is there
+    already; the minutes are not read again then.
+    """
+    require_columns(cleaned, [*MINUTE_COLUMNS, SRC_ORDER], "minute table")
+    if by_day is None:
+        observed = settle(facts.observed_days(cleaned, short=cfg.normalize_time))
+    else:
+        observed = facts.timed_days(by_day)
     daily = days.daily_adherence(observed, cfg)
     return Adherence(daily, days.valid_day_totals(daily, cfg))
 
@@ -133,12 +148,13 @@ def find_valid_participants(daily: DataFrame, cfg: ValidParticipants = ValidPart
 
 
 def daily_heart_rate(
-    keys: DataFrame, cleaned: DataFrame, cfg: HeartRateStats = HeartRateStats()
+    keys: DataFrame, cleaned: DataFrame, cfg: HeartRateStats = HeartRateStats(), by_day: DataFrame | None = None
 ) -> DailyReadings:
-    """Mean, highest and lowest reading of each day in the key table."""
+    """Mean, highest and lowest reading of each day in the key table. ``by_day`` as in find_valid_days."""
     require_columns(cleaned, MINUTE_COLUMNS, "minute table")
     wanted = valid_day_keys(keys, cfg.filter_valid_days)
-    daily = settle(readings.stats_on_days(wanted, facts.readings_by_day(cleaned)))
+    by_reading = facts.readings_by_day(cleaned) if by_day is None else facts.reading_days(by_day)
+    daily = settle(readings.stats_on_days(wanted, by_reading))
     return DailyReadings(daily.drop("day_index"), readings.stats_totals(daily))
 
 

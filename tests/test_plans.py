@@ -297,6 +297,17 @@ def test_jobs_of_two_threads_keep_their_own_folders(spark):
     assert len(found[0]) == len(found[1]) == 1 and found[0] != found[1]
 
 
+def test_one_pass_gives_valid_days_and_readings(spark, events):
+    cleaned = steps.remove_outliers(events).minutes
+    by_day = steps.wear_and_readings(cleaned, ValidDays(threshold_minutes=2))
+    alone = steps.find_valid_days(cleaned, ValidDays(threshold_minutes=2))
+    shared = steps.find_valid_days(cleaned, ValidDays(threshold_minutes=2), by_day=by_day)
+    assert rows(shared.daily) == rows(alone.daily) and rows(shared.summary) == rows(alone.summary)
+    both = steps.daily_heart_rate(shared.daily, cleaned, by_day=by_day)
+    apart = steps.daily_heart_rate(alone.daily, cleaned)
+    assert rows(both.daily) == rows(apart.daily) and rows(both.summary) == rows(apart.summary)
+
+
 def test_texts_of_a_day_are_made_once(spark, capsys):
     workload.dense(spark, SF).explain(True)
     optimized = capsys.readouterr().out.split("Optimized Logical Plan")[1].split("Physical Plan")[0]
