@@ -308,6 +308,18 @@ def test_one_pass_gives_valid_days_and_readings(spark, events):
     assert rows(both.daily) == rows(apart.daily) and rows(both.summary) == rows(apart.summary)
 
 
+def test_a_reading_is_parsed_once_where_outliers_are_stored(events):
+    plans = []
+
+    def store(df):
+        plans.append(df._jdf.queryExecution().analyzed().toString())
+        return settle(df)
+
+    stored = steps.remove_outliers(events, store=store).minutes
+    assert stored.columns == events.columns
+    assert plans[0].count("translate(") == 1
+
+
 def test_texts_of_a_day_are_made_once(spark, capsys):
     workload.dense(spark, SF).explain(True)
     optimized = capsys.readouterr().out.split("Optimized Logical Plan")[1].split("Physical Plan")[0]
