@@ -31,7 +31,7 @@ from pulsegrid.operators import days, facts, metrics, minutes, readings, runs, s
 from pulsegrid.sources.keys import metric_keys, valid_day_keys
 from pulsegrid.sources.minutes import with_full_time
 from pulsegrid.sources.settle import settle
-from pulsegrid.sources.tables import SRC_ORDER, as_number, require_columns
+from pulsegrid.sources.tables import SRC_ORDER, require_columns
 
 
 Store = Callable[[DataFrame], DataFrame]
@@ -106,8 +106,7 @@ def remove_outliers(deduped: DataFrame, cfg: Outliers = Outliers(), store: Store
         cleaned = minutes.clean_outliers(rows, cfg.min_hr, cfg.max_hr, cfg.mode)
         return Cleaned(cleaned, minutes.outlier_counts(rows, cfg.min_hr, cfg.max_hr))
     # A reading is parsed once, for the counts and for the cleaned rows.
-    parsed = next(n for n in ("_hr_num", "_the_hr_num", "_the_minutes_hr_num") if n not in rows.columns)
-    rows = rows.withColumn(parsed, as_number(rows, "hr"))
+    rows, parsed = minutes.with_parsed(rows)
     totals = minutes.outlier_totals(rows, cfg.min_hr, cfg.max_hr, parsed)
     seen, empty = Observation("outliers"), rows.limit(0).agg(*totals)
     stored = store(minutes.clean_outliers(rows.observe(seen, *totals), cfg.min_hr, cfg.max_hr, cfg.mode, parsed).drop(parsed))
