@@ -27,7 +27,7 @@ def suppliers(spark, tmp_path):
 
 
 def test_tasks_of_the_dense_minutes_grow_with_the_subjects(spark, suppliers):
-    tasks = workload.dense(spark, suppliers(*range(4000))).select("src_order").rdd.getNumPartitions()
+    tasks = workload.dense(spark, suppliers(*range(2000))).select("src_order").rdd.getNumPartitions()
     assert tasks == 16 > 2 * spark.sparkContext.defaultParallelism
 
 
