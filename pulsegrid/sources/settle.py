@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -21,16 +21,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Writes the frame to the shared folder, at once, and returns it as read back.
+def settle(df: DataFrame, options: Mapping[str, str] | None = None) -> DataFrame:
+    """Writes the frame to the shared folder, at once, and returns it as read back. ``options`` are the Parquet writer's.
 
     Losing executors later costs nothing: the table is on shared storage. Being columnar,
     it is pruned on every read, and its size is known when a join picks its strategy.
     """
-    return settle_all([df])
+    return settle_all([df], options)
 
 
-def settle_all(frames: Iterable[DataFrame]) -> DataFrame:
+def settle_all(frames: Iterable[DataFrame], options: Mapping[str, str] | None = None) -> DataFrame:
     """Settles frames of one schema, at least one, in one table.
 
     A frame is asked for when the one before it is stored. So a job in passes, which yields them, holds
@@ -41,7 +41,7 @@ def settle_all(frames: Iterable[DataFrame]) -> DataFrame:
         if path is None:
             spark, schema = df.sparkSession, df.schema
             path = f"{_JOB.get() or shared_folder(spark)}/settled-{uuid.uuid4().hex}"
-        df.write.mode("append").parquet(path)
+        df.write.mode("append").options(**(options or {})).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

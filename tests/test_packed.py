@@ -1,0 +1,113 @@
+"""The packed dedup gives the rows of the plain one, whatever the cells, and moves a subject-day as one row."""
+
+import json
+import random
+import re
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+import workload
+from conftest import rows
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from pulsegrid.config import Cohort, Duplicates
+from pulsegrid.operators import minutes as ops, packed
+from pulsegrid.plans import cohort
+from pulsegrid.sources.minutes import with_full_time
+
+SCHEMA = "src_order long, subject_id string, date string, time string, hr string"
+NAMES = ("subject_id", "date", "time", "hr", "src_order", "copies", "unrecorded")
+SUBJECTS = ["a", "", "ä\n", None, "x\x00", "x", *[f"s{n}" for n in range(150)]]
+DATES = ["day0", "Day0", " day1 ", "day2.0", "day-3", "day", None]
+TIMES = ["00:00:00", "23:59:59", "09:30", "9:30:00", " 09:30:00", "24:00:00", "x", None]
+READINGS = ["70", "070", "70.0", "1e2", " 80 ", "+90", "0", "-5", "inf", "72d", "999", "7", None]
+ORDERS = [None, 0, -1, 5, 5, 2**63 - 1, -(2**63), 123_456_789]
+
+
+@pytest.fixture
+def odd(spark):
+    pick = random.Random(11)
+    cells = [(pick.choice(ORDERS), SUBJECTS[int(len(SUBJECTS) * pick.random() ** 3)], pick.choice(DATES), pick.choice(TIMES), pick.choice(READINGS)) for _ in range(6000)]
+    return spark.createDataFrame(cells, SCHEMA)
+
+
+def plainly(monkeypatch, raw, keep="last"):
+    with monkeypatch.context() as m:
+        m.setattr(packed, "can_pack", lambda *_: False)
+        return rows(ops.keep_one_marked(raw, keep=keep).select(*NAMES))
+
+
+@pytest.mark.parametrize("chunk", [7, 300, packed.CHUNK])
+@pytest.mark.parametrize("keep", ["first", "last"])
+def test_packed_dedup_of_odd_cells(odd, monkeypatch, keep, chunk):
+    expected = plainly(monkeypatch, odd, keep)
+    assert any(r[6] for r in expected) and any(r[4] is None and not r[6] for r in expected)
+    monkeypatch.setattr(packed, "CHUNK", chunk)
+    for flags in (0, packed._MOST_FLAGS):
+        monkeypatch.setattr(packed, "_MOST_FLAGS", flags)
+        assert rows(ops.keep_one_marked(odd, keep=keep).select(*NAMES)) == expected
+
+
+def test_packed_dedup_of_shuffled_events_and_of_nothing(spark, monkeypatch):
+    raw = with_full_time(workload.sparse(spark, "/root/testdata/sf0.001")).repartition(5)
+    assert rows(ops.keep_one_marked(raw).select(*NAMES)) == plainly(monkeypatch, raw)
+    assert rows(ops.keep_one_marked(raw.limit(0))) == []
+
+
+def test_a_hot_minute_leaves_a_row_for_each_chunk(spark, monkeypatch):
+    monkeypatch.setattr(packed, "CHUNK", 500)
+    raw = spark.range(4000, numPartitions=4).selectExpr("id as src_order", "'a' as subject_id", "'day0' as date", "'09:30:00' as time", "string(60 + id % 50) as hr")
+    moved = raw.mapInArrow(lambda batches: packed._pack(batches, True), packed._PACKED)
+    assert moved.count() == 8 and moved.agg(F.sum("n")).first()[0] == 8
+    assert rows(ops.keep_one_marked(raw).select(*NAMES)) == [("a", "day0", "09:30:00", "109", 3999, 4000, False)]
+
+
+def test_the_whole_job_moves_minutes_once_and_small(spark, tmp_path):
+    """A subject-day of 1,440 minutes leaves the exchange of the dedup and the stored table at a few bytes a minute."""
+    spark.createDataFrame([(k,) for k in range(40)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    raw = workload.dense(spark, str(tmp_path))
+    daily = [workload.daily(spark, "/root/testdata/sf0.001", name) for name in ("activity", "resting", "sleep")]
+    stored, plans = {}, {}
+
+    def store(name, table):
+        plans[name] = table._jdf.queryExecution().optimizedPlan().toString()
+        stored[name] = cohort._settle(name, table)
+        return stored[name]
+
+    cohort.run(cohort.Sources(raw, *daily), Cohort(), store)
+    plan = plans["hr_1min_deduped"]
+    upper = plan[: plan.index("MapInArrow", plan.index("MapInArrow") + 1)]
+    assert len(re.findall(r"Repartition|Rebalance|Aggregate", upper)) == 1
+    files = [Path(f.removeprefix("file://")) for f in stored["hr_1min_deduped"].inputFiles()]
+    assert sum(f.stat().st_size for f in files) < 2.5 * raw.count()
+
+
+@pytest.mark.parametrize("change", ["column", "type", "key"])
+def test_other_tables_go_the_plain_way(minutes, change):
+    raw = minutes(("a", "day0", "09:30:00", "60"), ("a", "day0", "09:30:00", "70"), ("a", "day1", "x", "60"))
+    key = ("subject_id", "date", "hr") if change == "key" else Duplicates().key
+    raw = {"column": raw.withColumn("device", F.lit(1)), "type": raw.withColumn("hr", F.col("hr").cast("int")), "key": raw}[change]
+    assert not packed.can_pack(raw, key)
+    found = {r.copies for r in ops.keep_one_marked(raw, key).where("not unrecorded").collect()}
+    assert found == ({1} if change == "key" else {2})
+
+
+def test_executors_need_no_copy_of_the_package():
+    data = cloudpickle.dumps([packed._pack, packed._unpack]).hex()
+    code = f"""
+import pickle, sys
+sys.path = [p for p in sys.path if p not in ("", {str(Path(__file__).parent.parent)!r})]
+pack, unpack = pickle.loads(bytes.fromhex({data!r}))
+import json, pyarrow as pa
+batch = pa.record_batch({{"subject_id": ["a"] * 3, "date": ["day0"] * 2 + [None], "time": ["09:30:00"] * 3, "hr": ["60", "70", None], "src_order": [1, 2, None]}})
+print(json.dumps([row for out in unpack(pack([batch], True), True) for row in out.to_pylist()]))
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd="/", check=False)
+    assert out.returncode == 0, out.stderr
+    assert sorted(map(tuple, (r.values() for r in json.loads(out.stdout.splitlines()[-1]))), key=str) == [
+        ("a", "day0", "09:30:00", "70", 2, 2, False),
+        ("a", None, None, None, None, 1, True),
+    ]
