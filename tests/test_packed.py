@@ -7,6 +7,7 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 import workload
 from conftest import rows
@@ -57,6 +58,18 @@ def test_packed_dedup_of_shuffled_events_and_of_nothing(spark, monkeypatch):
     assert rows(ops.keep_one_marked(raw.limit(0))) == []
 
 
+def test_long_texts_go_in_small_pieces(minutes, monkeypatch):
+    cells = [(f"{n % 3}" * 900, "day0", f"09:{n % 60:02d}:00", "60") for n in range(300)]
+    raw = minutes(*cells)
+    expected = plainly(monkeypatch, raw)
+    monkeypatch.setattr(packed, "MOST_BYTES", 5000)
+    found = ops.keep_one_marked(raw)
+    assert rows(found.select(*NAMES)) == expected
+    batch = pa.RecordBatch.from_pylist(raw.toPandas().to_dict("records"))
+    parts = list(packed._unpack(packed._pack([batch], True), True))
+    assert len(expected) == sum(part.num_rows for part in parts) and max(part.num_rows for part in parts) == 5
+
+
 def test_a_hot_minute_leaves_a_row_for_each_chunk(spark, monkeypatch):
     monkeypatch.setattr(packed, "CHUNK", 500)
     raw = spark.range(4000, numPartitions=4).selectExpr("id as src_order", "'a' as subject_id", "'day0' as date", "'09:30:00' as time", "string(60 + id % 50) as hr")
